@@ -1,0 +1,40 @@
+"""Run a query on Spark and its text on DuckDB, and compare names, types and rows."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+    "labels conversations"
+).split()
+SPARK_TYPES = {"string": "VARCHAR", "smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def duckdb_over(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"create view {table} as select * from read_parquet('{sf_dir}/{table}.parquet')")
+    return connection
+
+
+def differences(frame, connection: duckdb.DuckDBPyConnection, text: str) -> list[str]:
+    """What differs between a Spark frame and a DuckDB query; empty if nothing does."""
+    cursor = connection.execute(text)
+    oracle_types = {column[0]: str(column[1]) for column in cursor.description}
+    names = sorted(frame.columns)
+    if names != sorted(oracle_types):
+        return [f"columns {names} and {sorted(oracle_types)}"]
+    spark_types = {f.name: SPARK_TYPES.get(f.dataType.simpleString()) for f in frame.schema}
+    wrong = [f"type of {n}: {spark_types[n]} and {oracle_types[n]}" for n in names if spark_types[n] != oracle_types[n]]
+    order = [list(oracle_types).index(n) for n in names]
+    expected = Counter(tuple(row[i] for i in order) for row in cursor.fetchall())
+    found = Counter(tuple(row) for row in frame.select(*names).collect())
+    if found != expected:
+        wrong.append(
+            f"{found.total()} and {expected.total()} rows; only Spark {list((found - expected).items())[:3]}; "
+            f"only DuckDB {list((expected - found).items())[:3]}"
+        )
+    return wrong
