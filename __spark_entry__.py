@@ -85,9 +85,9 @@ def _ratings(spark: SparkSession, sf: str) -> DataFrame:
     return land_table(view(spark, sf, "title_ratings"), TITLE_RATINGS, BATCH_DATE)
 
 
-def _fact(spark: SparkSession, sf: str, parse: str = "comma") -> DataFrame:
+def _fact(spark: SparkSession, sf: str, **options) -> DataFrame:
     return fact_principals(
-        view(spark, sf, "title_basics"), _ratings(spark, sf), view(spark, sf, "title_principals"), parse=parse
+        view(spark, sf, "title_basics"), _ratings(spark, sf), view(spark, sf, "title_principals"), **options
     )
 
 
@@ -179,9 +179,12 @@ def _land_principals_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _upsert_composite_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Old and new rows come from one stored table of credits, which is unique by its key."""
     keys = ["tconst", "nconst"]
     credits = view(spark, sf, "title_principals").drop("job")
-    unique = one_per_key(credits, keys, ["ordering", "category", "characters"], keep="first")
+    path = scratch_path(spark, "unique_credits")
+    overwrite_table(one_per_key(credits, keys, ["ordering", "category", "characters"], keep="first"), path)
+    unique = scan_table(spark, path)
     columns = [*keys, "category"]
     target = unique.filter(F.col("ordering") % 3 != 0).select(*columns)
     source = unique.filter(F.col("ordering") % 2 == 0).withColumn("category", F.concat("category", F.lit("*")))
@@ -248,6 +251,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_titles": lambda s, d: dim_titles(view(s, d, "title_basics")),
         "fact_principals": _fact,
         "fact_principals_json": lambda s, d: _fact(s, d, parse="json"),
+        "fact_principals_balanced": lambda s, d: _fact(s, d, rows_per_share=2),
         "person_kpis": lambda s, d: person_kpis(_names(s, d), _fact(s, d)),
         "role_kpis": _role_kpis,
         "principal_kpis": lambda s, d: principal_kpis(_names(s, d), _fact(s, d)),
@@ -393,6 +397,9 @@ from title_basics where try_cast(startYear as int) > 1960 and try_cast(startYear
         "fact_principals_json": with_views(
             _FACT.format(characters=_JSON), "title_basics", "title_ratings", "title_principals"
         ),
+        "fact_principals_balanced": with_views(
+            _FACT.format(characters=_COMMA), "title_basics", "title_ratings", "title_principals"
+        ),
         "person_kpis": _kpi_oracle(
             """
 select n.nconst, g.average_rating, g.total_run_time_minutes, coalesce(g.total_titles_as_principal, 0) as total_titles_as_principal

@@ -16,7 +16,7 @@ from marquee.functions.columns import (
     split_list,
     strictly_between,
 )
-from marquee.operators.skew import ROWS_PER_SHARE, balanced_left_join
+from marquee.operators.skew import balanced_left_join
 from marquee.specs import BATCH_DATE_COLUMN, BIRTH_YEARS, RATING_TYPE, ROLES, START_YEARS
 
 
@@ -64,7 +64,7 @@ def fact_principals(
     start_years: tuple[int, int] = START_YEARS,
     roles: tuple[str, ...] = ROLES,
     parse: str = "comma",
-    rows_per_share: int = ROWS_PER_SHARE,
+    rows_per_share: int | None = None,
 ) -> DataFrame:
     """One row per acting credit, with run time and rating of its title.
 

@@ -75,17 +75,16 @@ def upsert(
     and the target is then not shuffled; otherwise both are shuffled on the keys, where AQE can cut
     a hot key of the target because an anti join streams its left side.
     """
-    if on_duplicate == "last":
-        if not order_by:
-            raise ValueError("on_duplicate='last' needs order_by")
-        source = one_per_key(source, keys, order_by)
-    elif on_duplicate not in ("error", "all"):
+    if on_duplicate not in ("error", "last", "all"):
         raise ValueError(f"on_duplicate must be 'error', 'last' or 'all', not {on_duplicate!r}")
-
     source_keys = source.filter(has_key(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     if on_duplicate == "error":
         refused = F.concat_ws(" ", F.lit("several source rows for key"), *[F.col(k).cast("string") for k in keys])
         source_keys = source_keys.filter(F.when(F.col("n") == 1, True).otherwise(F.raise_error(refused)))
+    elif on_duplicate == "last":
+        if not order_by:
+            raise ValueError("on_duplicate='last' needs order_by")
+        source = one_per_key(source, keys, order_by)
 
     kept = target.filter(has_key(keys)).join(source_keys.select(*keys), keys, "left_anti")
     unmatchable = target.filter(~has_key(keys))

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SHARE = 1_000_000
 MAX_HEAVY_KEYS = 10_000
+ONE_TASK_BYTES = 64 * 1024 * 1024
+
+
+def fits_one_task(df: DataFrame) -> bool:
+    """Whether Spark estimates, from file sizes and without running anything, that a task can take it all."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= ONE_TASK_BYTES
 
 
 def heavy_keys(df: DataFrame, key: str, rows_per_share: int = ROWS_PER_SHARE) -> DataFrame:
@@ -26,10 +35,12 @@ def heavy_keys(df: DataFrame, key: str, rows_per_share: int = ROWS_PER_SHARE) ->
 
 
 def balanced_left_join(
-    lefts: list[DataFrame], right: DataFrame, key: str, rows_per_share: int = ROWS_PER_SHARE
+    lefts: list[DataFrame], right: DataFrame, key: str, rows_per_share: int | None = None
 ) -> DataFrame:
     """``lefts[0] left join lefts[1] ... left join right`` on ``key``, shuffling every input once.
 
+    A small right side (see ``fits_one_task``) is joined as it is, unless ``rows_per_share`` is given.
+
     An outer join keeps its left side whole, so neither Spark nor AQE can cut a hot key of the right
     side. Here the rows of a heavy key on the right are dealt into shares and the few left rows of
     that key are repeated once per share. Keys that are not heavy have one share, so the plan is
@@ -40,7 +51,10 @@ def balanced_left_join(
     when a lost task is run again if ``right`` is a filtered or projected table scan; write any other
     frame to a table first.
     """
-    heavy = F.broadcast(heavy_keys(right, key, rows_per_share))
+    if rows_per_share is None and fits_one_task(right):
+        return reduce(lambda left, other: left.join(other, key, "left"), [*lefts, right])
+
+    heavy = F.broadcast(heavy_keys(right, key, rows_per_share or ROWS_PER_SHARE))
 
     def repeated(df: DataFrame) -> DataFrame:
         shares = F.sequence(F.lit(1), F.coalesce("_shares", F.lit(1)))

@@ -129,25 +129,31 @@ def upsert_table(
     """
     spark = source.sparkSession
     table_exists(spark, path)
+    if on_duplicate == "last" and not order_by:
+        raise ValueError("on_duplicate='last' needs order_by")
     scratch = paths.scratch_path(spark, "batch")
-    if on_duplicate == "last":
-        if not order_by:
-            raise ValueError("on_duplicate='last' needs order_by")
-        source, on_duplicate = one_per_key(source, keys, order_by), "all"
     evenly(source).write.parquet(scratch)
     batch = spark.read.schema(source.schema).parquet(scratch)
     target = scan_table(spark, path, source.schema)
 
     if partition_by is None:
-        overwrite_table(upsert(target, batch, keys, on_duplicate), path)
+        overwrite_table(upsert(target, batch, keys, on_duplicate, order_by), path)
     else:
-        _upsert_partitions(target, batch, path, keys, partition_by, on_duplicate)
+        _upsert_partitions(target, batch, path, keys, partition_by, on_duplicate, order_by)
     paths.delete(spark, scratch)
 
 
 def _upsert_partitions(
-    target: DataFrame, batch: DataFrame, path: str, keys: list[str], partition_by: str, on_duplicate: str
+    target: DataFrame,
+    batch: DataFrame,
+    path: str,
+    keys: list[str],
+    partition_by: str,
+    on_duplicate: str,
+    order_by: list[str] | None,
 ) -> None:
+    if on_duplicate == "last":
+        batch, on_duplicate = one_per_key(batch, keys, order_by), "all"
     # Both counts have one row per partition value: no more than the directories of the table.
     received = {row[0]: row[1] for row in batch.groupBy(partition_by).count().collect()}
     batch_keys = batch.filter(has_key(keys)).select(*keys).distinct().withColumn("_matched", F.lit(True))
