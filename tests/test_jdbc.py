@@ -1,0 +1,50 @@
+"""The writer's settings only: these tests start no database."""
+
+from unittest.mock import MagicMock
+
+from marquee.sources.jdbc import KPI_COLUMN_TYPES, RUN_LOG_COLUMN_TYPES, JdbcTarget
+from marquee.specs import KPIS, RUN_LOG_SCHEMA
+
+
+def written(target, *arguments, **options):
+    df = MagicMock()
+    target.overwrite(df, *arguments, **options)
+    df.write.format.assert_called_once_with("jdbc")
+    writer = df.write.format.return_value.options
+    mode = writer.return_value.mode
+    mode.assert_called_once_with("overwrite")
+    mode.return_value.save.assert_called_once_with()
+    return writer.call_args.kwargs
+
+
+def test_overwrite_truncates_and_bounds_connections():
+    target = JdbcTarget("jdbc:postgresql://db/films", "org.postgresql.Driver", "u", "p", connections=4)
+    assert written(target, KPIS, KPI_COLUMN_TYPES) == {
+        "url": "jdbc:postgresql://db/films",
+        "driver": "org.postgresql.Driver",
+        "dbtable": KPIS,
+        "truncate": "true",
+        "numPartitions": "4",
+        "user": "u",
+        "password": "p",
+        "createTableColumnTypes": KPI_COLUMN_TYPES,
+    }
+
+
+def test_unset_options_are_left_out_and_own_options_win():
+    settings = written(JdbcTarget("jdbc:x:y", "d", options={"truncate": "false", "batchsize": "5000"}), "t")
+    assert settings["truncate"] == "false"
+    assert settings["batchsize"] == "5000"
+    assert not {"user", "password", "createTableColumnTypes"} & set(settings)
+
+
+def test_password_is_not_shown():
+    assert "secret" not in repr(JdbcTarget("u", "d", "me", "secret"))
+
+
+def test_column_types_parse_and_name_existing_columns(spark):
+    from pyspark.sql.types import _parse_datatype_string
+
+    kpis = _parse_datatype_string(KPI_COLUMN_TYPES).names
+    assert set(kpis) <= {"nconst", "role", "name", "average_rating", "total_run_time_minutes", "total_titles_as_principal"}
+    assert _parse_datatype_string(RUN_LOG_COLUMN_TYPES).names == RUN_LOG_SCHEMA.names

@@ -1,0 +1,127 @@
+from datetime import date
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from marquee.operators.landing import first_rows, land_table, needs_refresh, one_per_key, upsert
+from marquee.operators.runlog import log_rows
+from marquee.specs import NAME_BASICS, TITLE_BASICS, TITLE_PRINCIPALS, TITLE_RATINGS
+
+DAY = date(2024, 1, 31)
+
+
+def test_land_table_casts_and_stamps(spark, rows):
+    raw = spark.createDataFrame([("nm1", "1970"), ("nm2", "\\N"), ("nm3", "x")], "nconst string, birthYear string")
+    landed = land_table(raw, NAME_BASICS, DAY)
+    assert landed.schema["birthYear"].dataType.simpleString() == "int"
+    assert rows(landed) == [("nm1", 1970, DAY), ("nm2", None, DAY), ("nm3", None, DAY)]
+
+
+def test_land_table_keeps_titles_with_few_votes_out(spark, rows):
+    raw = spark.createDataFrame([("a", "10000"), ("b", "10001"), ("c", "\\N")], "tconst string, numVotes string")
+    assert rows(land_table(raw, TITLE_RATINGS, DAY)) == [("b", 10001, DAY)]
+
+
+def test_land_table_caps_rows_only_if_asked(spark):
+    raw = spark.range(100).withColumn("startYear", F.lit("2000"))
+    assert land_table(raw, TITLE_BASICS, DAY).count() == 100
+    assert land_table(raw, TITLE_BASICS, DAY, max_rows=7).count() == 7
+
+
+def test_first_rows(spark):
+    df = spark.createDataFrame([(3,), (1,), (2,)], "a int")
+    assert [r["a"] for r in first_rows(df, 2, ["a"]).collect()] == [1, 2]
+
+
+def test_upsert(spark, rows):
+    target = spark.createDataFrame([(1, "old"), (2, "old"), (None, "old")], "k int, v string")
+    source = spark.createDataFrame([(2, "new"), (3, "new"), (None, "new")], "k int, v string")
+    expected = [(1, "old"), (2, "new"), (3, "new"), (None, "new"), (None, "old")]
+    for on_duplicate in ("error", "all"):
+        assert rows(upsert(target, source, ["k"], on_duplicate)) == expected
+    assert rows(upsert(target, source, ["k"], "last", ["v"])) == expected
+
+
+def test_upsert_takes_columns_by_name(spark, rows):
+    target = spark.createDataFrame([("old", 1)], "v string, k int")
+    source = spark.createDataFrame([(2, "new")], "k int, v string")
+    assert rows(upsert(target, source, ["k"])) == [("new", 2), ("old", 1)]
+
+
+def test_upsert_with_composite_key(spark, rows):
+    schema = "a int, b int, v string"
+    target = spark.createDataFrame([(1, 1, "old"), (1, 2, "old"), (1, None, "old")], schema)
+    source = spark.createDataFrame([(1, 2, "new"), (1, None, "new")], schema)
+    assert rows(upsert(target, source, ["a", "b"])) == [
+        (1, 1, "old"),
+        (1, 2, "new"),
+        (1, None, "new"),
+        (1, None, "old"),
+    ]
+
+
+def test_upsert_is_repeatable(spark, rows):
+    target = spark.createDataFrame([(1, "old"), (2, "old")], "k int, v string")
+    source = spark.createDataFrame([(2, "new")], "k int, v string")
+    once = upsert(target, source, ["k"])
+    assert rows(upsert(once, source, ["k"])) == rows(once)
+
+
+def test_upsert_and_duplicate_source_keys(spark, rows):
+    schema = "k int, v string, n int"
+    target = spark.createDataFrame([(1, "old", 0), (2, "old", 0)], schema)
+    source = spark.createDataFrame([(2, "b", 1), (2, "c", 3), (2, "a", 2)], schema)
+    with pytest.raises(PySparkException, match="several source rows for key 2"):
+        upsert(target, source, ["k"]).collect()
+    assert rows(upsert(target, source, ["k"], "last", ["n"])) == [(1, "old", 0), (2, "c", 3)]
+    assert rows(upsert(target, source, ["k"], "all")) == [(1, "old", 0), (2, "a", 2), (2, "b", 1), (2, "c", 3)]
+
+
+def test_upsert_rejects_bad_arguments(spark):
+    df = spark.createDataFrame([(1,)], "k int")
+    with pytest.raises(ValueError, match="order_by"):
+        upsert(df, df, ["k"], "last")
+    with pytest.raises(ValueError, match="first"):
+        upsert(df, df, ["k"], "first")
+
+
+def test_one_per_key(spark, rows):
+    df = spark.createDataFrame([(1, 2, "a"), (1, 1, "b"), (1, 2, "c"), (None, 1, "d"), (None, 1, "d")], "k int, n int, v string")
+    assert rows(one_per_key(df, ["k"], ["n"])) == [(1, 2, "c"), (None, 1, "d"), (None, 1, "d")]
+    assert rows(one_per_key(df, ["k"], ["n"], keep="first")) == [(1, 1, "b"), (None, 1, "d"), (None, 1, "d")]
+    assert rows(one_per_key(df.select("k"), ["k"], ["k"])) == [(1,), (None,), (None,)]
+    with pytest.raises(ValueError):
+        one_per_key(df, ["k"], ["n"], keep="any")
+
+
+def test_credits_are_replaced_as_a_group():
+    assert TITLE_PRINCIPALS.on_duplicate == "all"
+
+
+def test_needs_refresh(spark, rows):
+    earlier = date(2024, 1, 30)
+    log = log_rows(
+        spark,
+        [
+            ("landing_zone", "same_day", earlier, "success"),
+            ("landing_zone", "same_day", DAY, "success"),
+            ("landing_zone", "day_before", earlier, "success"),
+            ("landing_zone", "failed", DAY, "unsuccessful"),
+            ("cache", "other_stage", DAY, "success"),
+            ("landing_zone", "ahead", date(2024, 2, 1), "success"),
+        ],
+    )
+    names = ["same_day", "day_before", "failed", "other_stage", "ahead"]
+    wanted = spark.createDataFrame([("landing_zone", n) for n in names], "stage string, table_name string")
+    actions = {r["table_name"]: r["action"] for r in needs_refresh(log, wanted, DAY).collect()}
+    assert actions == {"same_day": "skip", "day_before": "upsert", "failed": "load", "other_stage": "load", "ahead": "upsert"}
+
+    there = wanted.withColumn("table_exists", F.col("table_name") != "same_day")
+    actions = {r["table_name"]: r["action"] for r in needs_refresh(log, there, DAY).collect()}
+    assert actions == {"same_day": "load", "day_before": "upsert", "failed": "upsert", "other_stage": "upsert", "ahead": "upsert"}
+
+
+def test_needs_refresh_with_empty_log(spark, rows):
+    wanted = spark.createDataFrame([("landing_zone", "t")], "stage string, table_name string")
+    assert rows(needs_refresh(log_rows(spark), wanted, DAY)) == [("landing_zone", "t", None, "load")]

@@ -1,0 +1,49 @@
+from datetime import date
+
+from marquee.operators.runlog import (
+    latest_success,
+    latest_success_of,
+    log_rows,
+    run_log_append,
+    serving_run_log,
+    status_on_date,
+)
+from marquee.specs import RUN_LOG_SCHEMA
+
+D1, D2 = date(2024, 1, 14), date(2024, 1, 15)
+LOG = [
+    ("cache", "t1", D1, "success"),
+    ("cache", "t1", D2, "unsuccessful"),
+    ("landing_zone", "t1", D2, "success"),
+    ("landing_zone", "t2", D2, "unsuccessful"),
+]
+
+
+def test_append_keeps_other_stages(spark, rows):
+    log = run_log_append(log_rows(spark, LOG), log_rows(spark, [("cache", "t1", D2, "success")]))
+    assert log.schema == RUN_LOG_SCHEMA
+    assert rows(log) == sorted([*LOG, ("cache", "t1", D2, "success")], key=repr)
+
+
+def test_latest_success(spark, rows):
+    log = log_rows(spark, LOG)
+    assert rows(latest_success(log)) == [("cache", "t1", D1), ("landing_zone", "t1", D2)]
+    assert rows(latest_success_of(log, "cache", "t1")) == [(D1,)]
+    assert rows(latest_success_of(log, "landing_zone", "t2")) == [(None,)]
+
+
+def test_empty_log(spark, rows):
+    empty = log_rows(spark)
+    assert rows(latest_success(empty)) == []
+    assert rows(latest_success_of(empty, "cache", "t1")) == [(None,)]
+    assert rows(status_on_date(empty, D1)) == []
+
+
+def test_status_on_date(spark, rows):
+    log = log_rows(spark, LOG)
+    assert rows(status_on_date(log, D1)) == [LOG[0]]
+    assert rows(status_on_date(log, date(2023, 1, 1))) == []
+
+
+def test_serving_run_log_is_distinct(spark, rows):
+    assert rows(serving_run_log(log_rows(spark, LOG + LOG))) == sorted(LOG, key=repr)
