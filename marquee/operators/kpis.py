@@ -100,8 +100,11 @@ def top_people(kpis: DataFrame, role: str) -> DataFrame:
     if wanted not in (*ROLES, BOTH_ROLES):
         raise ValueError(f"role must be one of {', '.join((*ROLES, BOTH_ROLES))}, not {role!r}")
     if wanted == BOTH_ROLES:
+        # Counting the known roles keeps this a hash aggregation; the minimum of a text would sort.
+        has_role = [F.when(F.count_if(F.col("role") == r) > 0, r) for r in sorted(ROLES)]
         others = [c for c in KPI_COLUMNS if c != "role"]
-        people = kpis.groupBy(*others).agg(F.min("role").alias("role")).select(*KPI_COLUMNS)
+        people = kpis.filter(F.col("role").isin(*ROLES)).groupBy(*others).agg(F.coalesce(*has_role).alias("role"))
+        people = people.select(*KPI_COLUMNS)
     else:
         people = serving_kpis(kpis.filter(F.col("role") == wanted))
     return people.orderBy(F.desc_nulls_last("average_rating"), "nconst", "role")

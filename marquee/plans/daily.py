@@ -58,7 +58,11 @@ def read_landed(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
 
 
 class Batch:
-    """One run of the batch for one date. Stages pass their data on as tables under ``root``."""
+    """One run of the batch for one date.
+
+    Stages pass their data on as tables under ``root``, so each can also be run, and run again after
+    a failure, on its own.
+    """
 
     def __init__(
         self,
@@ -77,20 +81,30 @@ class Batch:
     def run(self) -> None:
         """All stages in order. A failing stage is logged and raised; the log is published anyway."""
         try:
-            self._stages({(CACHE, name): lambda name=name: self._require(name) for name in self.inputs})
-            actions = self._landing_actions()
-            self._stages({(LANDING, name): lambda name=name: self._land(name, actions[name]) for name in self.inputs})
-            self._stages(
-                {
-                    (CLEANSED_STAGE + DIM_NAMES, DIM_NAMES): self._dim_names,
-                    (CLEANSED_STAGE + DIM_TITLES, DIM_TITLES): self._dim_titles,
-                    (CLEANSED_STAGE + FACT, FACT): self._fact,
-                }
-            )
-            self._stages({(AGGREGATED, KPIS): self._kpis})
+            self.check_inputs()
+            self.land()
+            self.cleanse()
+            self.aggregate()
         finally:
-            if self.publish:
-                self.publish(serving_run_log(read_run_log(self.spark, self.root)), SERVED_RUN_LOG)
+            self.publish_run_log()
+
+    def check_inputs(self) -> None:
+        self._stages({(CACHE, name): lambda name=name: self._require(name) for name in self.inputs})
+
+    def land(self) -> None:
+        actions = self._landing_actions()
+        self._stages({(LANDING, name): lambda name=name: self._land(name, actions[name]) for name in self.inputs})
+
+    def cleanse(self) -> None:
+        tables = {DIM_NAMES: self._dim_names, DIM_TITLES: self._dim_titles, FACT: self._fact}
+        self._stages({(CLEANSED_STAGE + table, table): job for table, job in tables.items()})
+
+    def aggregate(self) -> None:
+        self._stages({(AGGREGATED, KPIS): self._kpis})
+
+    def publish_run_log(self) -> None:
+        if self.publish:
+            self.publish(serving_run_log(read_run_log(self.spark, self.root)), SERVED_RUN_LOG)
 
     def _stages(self, jobs: dict[tuple[str, str], Callable[[], None]]) -> None:
         """Run independent jobs side by side, log every outcome, then raise the first failure."""

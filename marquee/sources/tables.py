@@ -77,10 +77,10 @@ def _overwrite_partitions(df: DataFrame, path: str, partition_by: str) -> None:
 
 
 def _is_one_of(column: str, values: list) -> Column:
-    """Membership in a list that may contain NULL, in a form that prunes partitions."""
+    """Membership in a list that may contain NULL: never NULL itself, and it prunes partitions."""
     known = [v for v in values if v is not None]
-    condition = F.col(column).isin(known) if known else F.lit(False)
-    return condition | F.col(column).isNull() if len(known) < len(values) else condition
+    is_known = F.coalesce(F.col(column).isin(known), F.lit(False)) if known else F.lit(False)
+    return is_known | F.col(column).isNull() if len(known) < len(values) else is_known
 
 
 def replace_partition(df: DataFrame, path: str, partition_by: str, value: str) -> None:
@@ -120,9 +120,10 @@ def upsert_table(
     """Upsert into a stored table.
 
     An unpartitioned table is rewritten. Of a partitioned one, only the partitions that receive rows
-    or lose a matched row are read in full and rewritten; the others are read for their keys only. A
-    row may move to another partition, and a partition that loses all its rows is removed. If the
-    driver dies between these two steps, running the same upsert again completes it.
+    or lose a matched row are rewritten. To find the latter, the keys of the partitions that receive
+    nothing are read; when the source is a full copy of the data there are none. A row may move to
+    another partition, and a partition that loses all its rows is removed. If the driver dies between
+    these two steps, running the same upsert again completes it.
 
     The source is written to a scratch table first, because it is used more than once and may be
     expensive to read (gzip text is decoded by one task per file).
@@ -132,7 +133,7 @@ def upsert_table(
     if on_duplicate == "last" and not order_by:
         raise ValueError("on_duplicate='last' needs order_by")
     scratch = paths.scratch_path(spark, "batch")
-    evenly(source).write.parquet(scratch)
+    source.write.parquet(scratch)
     batch = spark.read.schema(source.schema).parquet(scratch)
     target = scan_table(spark, path, source.schema)
 
@@ -154,24 +155,24 @@ def _upsert_partitions(
 ) -> None:
     if on_duplicate == "last":
         batch, on_duplicate = one_per_key(batch, keys, order_by), "all"
-    # Both counts have one row per partition value: no more than the directories of the table.
-    received = {row[0]: row[1] for row in batch.groupBy(partition_by).count().collect()}
+    # Both results have one row per partition value: no more than the directories of the table.
+    received = [row[0] for row in batch.select(partition_by).distinct().collect()]
     batch_keys = batch.filter(has_key(keys)).select(*keys).distinct().withColumn("_matched", F.lit(True))
     affected = (
-        target.select(*keys, partition_by)
+        target.filter(~_is_one_of(partition_by, received))
+        .select(*keys, partition_by)
         .join(batch_keys, keys, "left")
         .groupBy(partition_by)
         .agg(F.count(F.lit(1)).alias("n_rows"), F.count("_matched").alias("n_matched"))
         .filter(F.col("n_matched") > 0)
         .collect()
     )
-    touched = set(received) | {row[partition_by] for row in affected}
+    touched = received + [row[partition_by] for row in affected]
     if not touched:
         return
     emptied = [row[partition_by] for row in affected if row["n_rows"] == row["n_matched"]]
-    emptied = [value for value in emptied if value not in received]
 
-    merged = upsert(target.filter(_is_one_of(partition_by, list(touched))), batch, keys, on_duplicate)
+    merged = upsert(target.filter(_is_one_of(partition_by, touched)), batch, keys, on_duplicate)
     _overwrite_partitions(evenly(merged, partition_by), path, partition_by)
     if emptied:
         _remove_partitions(target.filter(_is_one_of(partition_by, emptied)), partition_by)
