@@ -17,6 +17,7 @@ from marquee.sources.files import scan_table, scan_tsv
 from marquee.sources.tables import append_table, evenly, overwrite_table, table_exists, upsert_table
 from marquee.specs import (
     AGGREGATED,
+    BATCH_DATE_COLUMN,
     CACHE,
     CLEANSED,
     CLEANSED_STAGE,
@@ -137,7 +138,11 @@ class Batch:
         if action == "skip":
             return
         spec, path = TABLES[name], self._path(LANDING, name)
-        landed = land_table(scan_tsv(self.spark, self.inputs[name], spec.schema), spec, self.batch_date)
+        schema = spec.schema
+        if schema is None and action == "upsert":
+            # Types are inferred for the first load only: later files must fit the table.
+            schema = scan_table(self.spark, path).drop(BATCH_DATE_COLUMN).schema
+        landed = land_table(scan_tsv(self.spark, self.inputs[name], schema), spec, self.batch_date)
         if action == "load":
             overwrite_table(evenly(landed, spec.partition_by), path, spec.partition_by)
         else:

@@ -6,14 +6,17 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-# Types of the serving columns that Spark would otherwise choose itself, wide enough for every value.
-# Key and index belong to the store: (nconst, role) with an index on role for the indicators, all
-# four columns for the run log.
-KPI_COLUMN_TYPES = (
-    "nconst VARCHAR(32), role VARCHAR(32), average_rating DECIMAL(14, 5), "
-    "total_run_time_minutes BIGINT, total_titles_as_principal BIGINT"
-)
-RUN_LOG_COLUMN_TYPES = "stage VARCHAR(64), table_name VARCHAR(64), date DATE, status VARCHAR(32)"
+from marquee.specs import KPIS, SERVED_RUN_LOG
+
+# Types of the serving columns for a store that does not have the tables yet, wide enough for every
+# value; other columns get Spark's default. ``serving.sql`` declares the tables with key and index.
+SERVING_TYPES = {
+    KPIS: (
+        "nconst VARCHAR(32), role VARCHAR(32), average_rating DECIMAL(14, 5), "
+        "total_run_time_minutes BIGINT, total_titles_as_principal BIGINT"
+    ),
+    SERVED_RUN_LOG: "stage VARCHAR(64), table_name VARCHAR(64), date DATE, status VARCHAR(32)",
+}
 
 
 @dataclass(frozen=True)
@@ -27,8 +30,8 @@ class JdbcTarget:
     connections: int = 16
     options: dict[str, str] = field(default_factory=dict)
 
-    def overwrite(self, df: DataFrame, dbtable: str, column_types: str | None = None) -> None:
-        """Replace the rows of ``dbtable``, creating it with ``column_types`` if it is not there.
+    def overwrite(self, df: DataFrame, dbtable: str) -> None:
+        """Replace the rows of ``dbtable``, creating it with its serving types if it is not there.
 
         An existing table is truncated, not dropped, so that its key, index and types remain.
         """
@@ -40,7 +43,7 @@ class JdbcTarget:
             "numPartitions": str(self.connections),
             "user": self.user,
             "password": self.password,
-            "createTableColumnTypes": column_types,
+            "createTableColumnTypes": SERVING_TYPES.get(dbtable),
             **self.options,
         }
         given = {name: value for name, value in settings.items() if value is not None}

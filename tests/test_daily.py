@@ -130,6 +130,7 @@ def test_next_day_upserts(spark, lake, rows):
         root,
         title_basics=[RAW["title_basics"][0], "tt2 movie B2 B2 0 2002 \\N 50 Drama", "tt4 movie D D 0 2003 \\N 30 \\N"],
         title_principals=[RAW["title_principals"][0], 'tt1 1 nm1 actress \\N ["Z"]'],
+        title_akas=[RAW["title_akas"][0], "tt1 2 7", "tt1 3 8"],
     )
     run(D2)
     titles = read_landed(spark, root, TITLE_BASICS).select("tconst", "primaryTitle", "startYear", "today_date")
@@ -139,6 +140,8 @@ def test_next_day_upserts(spark, lake, rows):
         ("tt3", "C", 1950, D1),
         ("tt4", "D", 2003, D2),
     ]
+    akas = scan_table(spark, f"{root}/landing_zone/title_akas").drop("today_date")
+    assert rows(akas) == [("tt1", 1, "A"), ("tt1", 2, "7"), ("tt1", 3, "8")]  # title stays text
     credits = read_landed(spark, root, TITLE_PRINCIPALS).select("tconst", "nconst", "category", "characters")
     assert rows(credits) == [
         ("tt1", "nm1", "actress", '["Z"]'),

@@ -2,13 +2,13 @@
 
 from unittest.mock import MagicMock
 
-from marquee.sources.jdbc import KPI_COLUMN_TYPES, RUN_LOG_COLUMN_TYPES, JdbcTarget
-from marquee.specs import KPIS, RUN_LOG_SCHEMA
+from marquee.sources.jdbc import SERVING_TYPES, JdbcTarget
+from marquee.specs import KPIS, RUN_LOG_SCHEMA, SERVED_RUN_LOG
 
 
-def written(target, *arguments, **options):
+def written(target, table):
     df = MagicMock()
-    target.overwrite(df, *arguments, **options)
+    target.overwrite(df, table)
     df.write.format.assert_called_once_with("jdbc")
     writer = df.write.format.return_value.options
     mode = writer.return_value.mode
@@ -19,7 +19,7 @@ def written(target, *arguments, **options):
 
 def test_overwrite_truncates_and_bounds_connections():
     target = JdbcTarget("jdbc:postgresql://db/films", "org.postgresql.Driver", "u", "p", connections=4)
-    assert written(target, KPIS, KPI_COLUMN_TYPES) == {
+    assert written(target, KPIS) == {
         "url": "jdbc:postgresql://db/films",
         "driver": "org.postgresql.Driver",
         "dbtable": KPIS,
@@ -27,7 +27,7 @@ def test_overwrite_truncates_and_bounds_connections():
         "numPartitions": "4",
         "user": "u",
         "password": "p",
-        "createTableColumnTypes": KPI_COLUMN_TYPES,
+        "createTableColumnTypes": SERVING_TYPES[KPIS],
     }
 
 
@@ -45,6 +45,6 @@ def test_password_is_not_shown():
 def test_column_types_parse_and_name_existing_columns(spark):
     from pyspark.sql.types import _parse_datatype_string
 
-    kpis = _parse_datatype_string(KPI_COLUMN_TYPES).names
+    kpis = _parse_datatype_string(SERVING_TYPES[KPIS]).names
     assert set(kpis) <= {"nconst", "role", "name", "average_rating", "total_run_time_minutes", "total_titles_as_principal"}
-    assert _parse_datatype_string(RUN_LOG_COLUMN_TYPES).names == RUN_LOG_SCHEMA.names
+    assert _parse_datatype_string(SERVING_TYPES[SERVED_RUN_LOG]).names == RUN_LOG_SCHEMA.names

@@ -132,6 +132,22 @@ def test_small_upsert_does_not_shuffle_the_target(landed):
     assert "Exchange hashpartitioning" not in scan_to_join
 
 
+def test_hot_key_of_the_target_is_cut(spark, shuffled):
+    """A third of the target shares one key; AQE's thresholds are lowered to the size of the test."""
+    ids = spark.range(0, 600_000, 1, 16)
+    target = ids.select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    source = spark.range(1, 300_000).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    with settings(
+        spark,
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1MB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="1MB",
+    ):
+        result = upsert(target, source, ["k"])
+        kept = [row["k"] for row in result.collect() if row["v"] != "new"]
+        assert len(kept) == 400_000 and kept.count(0) == 200_000
+        assert re.search(r"SortMergeJoin\(skew=true\).*LeftAnti", plan(result).split("== Initial Plan ==")[0])
+
+
 def test_rows_without_key_are_found_by_statistics(landed):
     text = plan(upsert(landed["ratings"], landed["ratings"], ["tconst"]))
     assert "PushedFilters: [IsNull(tconst)]" in text
