@@ -45,7 +45,8 @@ def balanced_left_join(
     side. Here the rows of a heavy key on the right are dealt into shares and the few left rows of
     that key are repeated once per share. Keys that are not heavy have one share, so the plan is
     that of the plain join. A repeated left row that met no right row in its share is dropped: its
-    key has right rows, so it is matched in another share.
+    key has right rows, so it is matched in another share. Left rows without a key match nothing and
+    bypass the join, so they need not meet in one task either.
 
     Rows are dealt by position, not by content, so identical copies spread as well. Positions repeat
     when a lost task is run again if ``right`` is a filtered or projected table scan; write any other
@@ -60,7 +61,7 @@ def balanced_left_join(
         shares = F.sequence(F.lit(1), F.coalesce("_shares", F.lit(1)))
         return df.join(heavy, key, "left").withColumn("_share", F.explode(shares))
 
-    left = repeated(lefts[0])
+    left = repeated(lefts[0].filter(F.col(key).isNotNull()))
     for other in lefts[1:]:
         left = left.join(repeated(other).drop("_shares"), [key, "_share"], "left")
 
@@ -71,8 +72,9 @@ def balanced_left_join(
         .drop("_shares")
         .withColumn("_matched", F.lit(True))
     )
-    return (
+    joined = (
         left.join(dealt, [key, "_share"], "left")
         .filter(F.col("_shares").isNull() | F.col("_matched").isNotNull())
         .drop("_share", "_shares", "_matched")
     )
+    return joined.unionByName(lefts[0].filter(F.col(key).isNull()), allowMissingColumns=True)

@@ -116,6 +116,14 @@ def test_kpis_shuffle_totals_not_credits(landed, shuffled):
     assert re.search(r"ReadSchema: struct<run_time_minutes:int,rating:decimal\(10,1\),nconst:string>", text)
 
 
+def test_kpis_of_a_balanced_fact_need_only_matched_credits(landed, shuffled):
+    fact = fact_principals(landed["titles"], landed["ratings"], landed["principals"], rows_per_share=10)
+    text = plan(role_kpis(landed["names"].select("nconst", F.col("primaryName").alias("name")), fact))
+    assert "Union" not in text
+    assert re.search(r"SortMergeJoin \[tconst#\d+, _share#\d+\], \[tconst#\d+, _share#\d+\], Inner", text)
+    assert "characters" not in text
+
+
 def test_kpi_reports_use_hash_aggregation(landed, shuffled):
     names = landed["names"].select("nconst", F.col("primaryName").alias("name"))
     kpis = role_kpis(names, landed["fact"])
