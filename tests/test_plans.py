@@ -12,7 +12,7 @@ from marquee.operators.kpis import principal_kpis, role_kpis, serving_kpis, top_
 from marquee.operators.landing import upsert
 from marquee.operators.runlog import latest_success, status_on_date
 from marquee.sources.files import scan_table
-from marquee.sources.tables import overwrite_table
+from marquee.sources.tables import _is_one_of, overwrite_table
 from marquee.specs import (
     FACT_SCHEMA,
     NAME_BASICS,
@@ -161,6 +161,14 @@ def test_rows_without_key_are_found_by_statistics(landed):
     assert "PushedFilters: [IsNull(tconst)]" in text
 
 
+def test_upsert_prunes_partitions(landed):
+    for values in (["actor"], ["actor", None], [None]):
+        for condition in (_is_one_of("category", values), ~_is_one_of("category", values)):
+            text = plan(landed["principals"].filter(condition))
+            assert re.search(r"PartitionFilters: \[[^\]]*category#", text), text
+            assert "Filter" not in text.split("FileScan")[0]
+
+
 def test_run_log_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "log")
     overwrite_table(spark.createDataFrame([("s", "t", date(2024, 1, 1), "success")], RUN_LOG_SCHEMA), path, "table_name")

@@ -1,5 +1,7 @@
 import gzip
+import tempfile
 from pathlib import Path
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.errors import PySparkException
@@ -244,6 +246,20 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert first.startswith(shared)
 
 
+def test_scratch_without_shared_folder():
+    """A local session may use a temporary folder, a cluster may not."""
+    session = MagicMock()
+    session.conf.get.return_value = None
+    session.sparkContext.getCheckpointDir.return_value = None
+    session.sparkContext.master = "local[8]"
+    assert paths.scratch_path(session, "x").startswith(tempfile.gettempdir())
+    session.sparkContext.master = "yarn"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        paths.scratch_path(session, "x")
+    session.sparkContext.getCheckpointDir.return_value = "hdfs:///shared"
+    assert paths.scratch_path(session, "x").startswith("hdfs:///shared/x-")
+
+
 def test_principals_schema_reads_partition_column_as_text(spark, path):
     df = spark.createDataFrame([("tt1", 1, "nm1", "1", None, None)], TITLE_PRINCIPALS.schema)
     overwrite_table(df, path, "category")
