@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SHARE = 1_000_000
-MAX_HEAVY_KEYS = 10_000
+MAX_HEAVY_KEYS = 100_000
 ONE_TASK_BYTES = 64 * 1024 * 1024
 
 

@@ -1,7 +1,7 @@
 """Writing parquet tables: overwrite, overwrite by partition, and upsert in place.
 
-A failed or interrupted write never costs the table it was to replace. Tasks are retried by Spark as
-usual; nothing is kept on an executor.
+What is to be replaced stays until its successor is complete, so a failed job costs nothing. Tasks are
+retried by Spark as usual; nothing is kept on an executor.
 """
 
 from __future__ import annotations
@@ -48,7 +48,8 @@ def overwrite_table(df: DataFrame, path: str, partition_by: str | None = None) -
     """
     spark = df.sparkSession
     table_exists(spark, path)
-    writer = df.write.mode("overwrite")
+    paths.delete(spark, _next(path))
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(_next(path))
@@ -122,8 +123,8 @@ def upsert_table(
     An unpartitioned table is rewritten. Of a partitioned one, only the partitions that receive rows
     or lose a matched row are rewritten. To find the latter, the keys of the partitions that receive
     nothing are read; when the source is a full copy of the data there are none. A row may move to
-    another partition, and a partition that loses all its rows is removed. If the driver dies between
-    these two steps, running the same upsert again completes it.
+    another partition, and a partition that loses all its rows is removed afterwards. If the driver dies
+    before that, running the same upsert again completes it.
 
     The source is written to a scratch table first, because it is used more than once and may be
     expensive to read (gzip text is decoded by one task per file).

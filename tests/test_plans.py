@@ -97,7 +97,7 @@ def test_balanced_fact_adds_only_the_count_of_heavy_keys(landed, shuffled):
     counted = re.findall(r"hashpartitioning\(tconst#\d+, \d+\)", text)
     assert len(on_key_and_share) == 3
     assert len(counted) == 3  # the same count for each input: run once and reused
-    assert len(re.findall(r"TakeOrderedAndProject\(limit=10000", text)) == 3
+    assert len(re.findall(r"TakeOrderedAndProject\(limit=100000", text)) == 3
 
 
 def test_heavy_keys_are_counted_once(landed, shuffled):

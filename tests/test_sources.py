@@ -119,6 +119,20 @@ def test_interrupted_replacement_is_undone(spark, path, rows):
     assert not table_exists(spark, f"{path}-other")
 
 
+def test_remains_of_an_earlier_attempt_are_dropped(spark, path, rows):
+    schema = "p string, v int"
+    spark.createDataFrame([("stale", 1)], schema).write.partitionBy("p").parquet(f"{path}__next")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        df = spark.createDataFrame([("a", 2)], schema)
+        overwrite_table(df, path, "p")
+        overwrite_table(df.withColumn("p", F.lit("b")), path, "p")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert rows(scan_table(spark, path, df.schema)) == [("b", 2)]
+
+
 def test_partitioned_table(spark, path, rows):
     df = spark.createDataFrame([("0012", 1), (None, 2), ("a/b", 3)], "p string, v int")
     overwrite_table(evenly(df, "p"), path, "p")
