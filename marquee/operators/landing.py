@@ -66,9 +66,9 @@ def upsert(
 ) -> DataFrame:
     """Target rows whose key is not in the source, plus the source rows.
 
-    Several source rows with one key: ``error`` refuses them while the query runs, ``last`` keeps the
-    last one in the order of ``order_by``, ``all`` keeps them all, so that the rows of a key are
-    replaced as a group. A NULL in a key matches nothing: such rows stay in the target, and are
+    Several source rows with one key: ``error`` refuses them while the query runs, if the target has
+    rows to compare with; ``last`` keeps the last one in the order of ``order_by``; ``all`` keeps
+    them all, so that the rows of a key are replaced as a group. A NULL in a key matches nothing: such rows stay in the target, and are
     added from the source, as in an SQL MERGE.
 
     Only the keys of the source meet the target. Spark broadcasts them if their measured size allows,

@@ -131,31 +131,37 @@ def upsert_table(
     """
     spark = source.sparkSession
     table_exists(spark, path)
+    if on_duplicate not in ("error", "last", "all"):
+        raise ValueError(f"on_duplicate must be 'error', 'last' or 'all', not {on_duplicate!r}")
     if on_duplicate == "last" and not order_by:
         raise ValueError("on_duplicate='last' needs order_by")
     scratch = paths.scratch_path(spark, "batch")
-    source.write.parquet(scratch)
-    batch = spark.read.schema(source.schema).parquet(scratch)
-    target = scan_table(spark, path, source.schema)
-
-    if partition_by is None:
-        overwrite_table(upsert(target, batch, keys, on_duplicate, order_by), path)
-    else:
-        _upsert_partitions(target, batch, path, keys, partition_by, on_duplicate, order_by)
-    paths.delete(spark, scratch)
+    try:
+        source.write.parquet(scratch)
+        batch = spark.read.schema(source.schema).parquet(scratch)
+        target = scan_table(spark, path, source.schema)
+        if on_duplicate == "error":
+            _refuse_duplicates(batch, keys)
+        elif on_duplicate == "last":
+            batch = one_per_key(batch, keys, order_by)
+        if partition_by is None:
+            overwrite_table(upsert(target, batch, keys, "all"), path)
+        else:
+            _upsert_partitions(target, batch, path, keys, partition_by)
+    finally:
+        paths.delete(spark, scratch)
+
+
+def _refuse_duplicates(batch: DataFrame, keys: list[str]) -> None:
+    """Looked for before anything is written, and also in a table without rows to compare with."""
+    counted = batch.filter(has_key(keys)).groupBy(*keys).count()
+    for row in counted.filter(F.col("count") > 1).limit(1).collect():
+        raise ValueError(f"several source rows for key {' '.join(str(row[k]) for k in keys)}")
 
 
 def _upsert_partitions(
-    target: DataFrame,
-    batch: DataFrame,
-    path: str,
-    keys: list[str],
-    partition_by: str,
-    on_duplicate: str,
-    order_by: list[str] | None,
+    target: DataFrame, batch: DataFrame, path: str, keys: list[str], partition_by: str
 ) -> None:
-    if on_duplicate == "last":
-        batch, on_duplicate = one_per_key(batch, keys, order_by), "all"
     # Both results have one row per partition value: no more than the directories of the table.
     received = [row[0] for row in batch.select(partition_by).distinct().collect()]
     batch_keys = batch.filter(has_key(keys)).select(*keys).distinct().withColumn("_matched", F.lit(True))
@@ -173,7 +179,7 @@ def _upsert_partitions(
         return
     emptied = [row[partition_by] for row in affected if row["n_rows"] == row["n_matched"]]
 
-    merged = upsert(target.filter(_is_one_of(partition_by, touched)), batch, keys, on_duplicate)
+    merged = upsert(target.filter(_is_one_of(partition_by, touched)), batch, keys, "all")
     _overwrite_partitions(evenly(merged, partition_by), path, partition_by)
     if emptied:
         _remove_partitions(target.filter(_is_one_of(partition_by, emptied)), partition_by)

@@ -236,13 +236,17 @@ def test_upsert_of_nothing(stored, rows):
 
 def test_upsert_table_and_duplicates(stored, rows):
     new = [(1, 1960, "a"), (1, 1970, "b")]
-    with pytest.raises(PySparkException, match="several source rows"):
+    with pytest.raises(ValueError, match="several source rows for key 1"):
         stored(new)
+    with pytest.raises(ValueError, match="several source rows for key 9"):
+        stored([(9, 2000, "a"), (9, 2000, "b")])  # also in a partition that is not there yet
     rest = [r for r in OLD if r[0] != 1]
     assert rows(stored(new, on_duplicate="last", order_by=["v"])) == sorted([*rest, (1, 1970, "b")], key=repr)
     assert rows(stored(new, on_duplicate="all")) == sorted([*rest, *new], key=repr)
     with pytest.raises(ValueError, match="order_by"):
         stored(new, on_duplicate="last")
+    with pytest.raises(ValueError, match="first"):
+        stored(new, on_duplicate="first")
 
 
 def test_upsert_handles_odd_partition_names(spark, path, rows):
