@@ -61,6 +61,14 @@ from marquee.specs import (  # noqa: E402
     TITLE_RATINGS,
 )
 
+try:  # these operators and the pipeline may be left out of an installation
+    import corpus_pipeline  # noqa: E402
+    from marquee.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "marquee.llm", "marquee.llm.queries"):
+        raise
+    llm = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 BATCH_DATE = date(2024, 1, 31)
 
@@ -265,7 +273,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_run_log": lambda s, d: serving_run_log(view(s, d, "run_log")),
         "full_run": _full_run,
     }
-    return {name: lambda s, d, frame=frame: _portable(frame(s, d)) for name, frame in frames.items()}
+    found = {name: lambda s, d, frame=frame: _portable(frame(s, d)) for name, frame in frames.items()}
+    return found | ({**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {})
 
 
 _KPI_VIEWS = ("name_basics", "title_basics", "title_ratings", "title_principals")
@@ -298,7 +307,7 @@ def _kpi_oracle(body: str) -> str:
 def oracle_sql() -> dict[str, str]:
     """DuckDB text for every query."""
     log = "select stage, table_name, cast(date as varchar) as date, status"
-    return {
+    return (llm.ORACLES if llm else {}) | {
         "scan_tsv_gz": with_views(
             r"""
 select tconst, titleType, primaryTitle, originalTitle, isAdult, try_cast(startYear as int) as startYear,
