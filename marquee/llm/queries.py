@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.bpe import bpe_tokens
+from marquee.llm.secrets import secret_spans, train_char_models
+from marquee.llm.urls import judge_urls, labelled_urls, train_url_model
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +19,19 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_spans(docs, train_char_models(docs))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), train_url_model(labelled_urls(spark)))
+
+
 QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLES: dict[str, str] = {}
