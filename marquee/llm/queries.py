@@ -7,13 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.bpe import bpe_tokens
 from marquee.llm.secrets import secret_spans, train_char_models
+from marquee.llm.tokenfiles import read_token_files, write_token_files
 from marquee.llm.urls import judge_urls, labelled_urls, train_url_model
+from marquee.sources.paths import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    manifest = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
+    return read_token_files(spark, folder, manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return tokens.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -29,6 +37,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_token_files": op3_token_files,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_url_filter": op10_url_filter,
