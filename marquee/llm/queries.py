@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marquee.llm.bpe import bpe_tokens
+from marquee.llm.quality import quality_scores
 from marquee.llm.secrets import secret_spans, train_char_models
 from marquee.llm.tokenfiles import read_token_files, write_token_files
+from marquee.llm.toxicity import toxicity_scores, train_toxicity
 from marquee.llm.urls import judge_urls, labelled_urls, train_url_model
 from marquee.sources.paths import scratch_path
 
@@ -22,6 +25,18 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder, manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chances of junk and of toxic text for every document; predicted is 1 for toxic ones."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    labels = labels.select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
+    scores = toxicity_scores(docs, train_toxicity(docs, labels, ["junk", "toxic"]), ["junk", "toxic"])
+    return scores.select("doc_id", "p_junk", F.col("p_toxic").alias("score"), (F.col("p_toxic") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return tokens.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -38,6 +53,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_token_files": op3_token_files,
+    "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_url_filter": op10_url_filter,
