@@ -26,11 +26,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chances of junk and of toxic text for every document; predicted is 1 for toxic ones."""
+    """Chances that a document is toxic, and toxic junk; predicted is 1 for toxic ones."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    labels = labels.select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
-    scores = toxicity_scores(docs, train_toxicity(docs, labels, ["junk", "toxic"]), ["junk", "toxic"])
-    return scores.select("doc_id", "p_junk", F.col("p_toxic").alias("score"), (F.col("p_toxic") >= 0.5).cast("int").alias("predicted"))
+    labels = labels.select("doc_id", "toxic", (F.col("toxic") * (1 - F.col("quality"))).alias("toxic_junk"))
+    categories = ["toxic", "toxic_junk"]
+    scores = toxicity_scores(docs, train_toxicity(docs, labels, categories), categories)
+    return scores.select("doc_id", F.col("p_toxic").alias("score"), (F.col("p_toxic") >= 0.5).cast("int").alias("predicted"), "p_toxic_junk")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Toxicity by a classifier chain (operator 6).
 
-Categories are predicted one after the other by linear models on the words of a text. Each later model also
+Categories are predicted one after the other by linear models on the words of a text and the
+beginnings of its words. Each later model also
 gets the log-odds of the earlier categories. It is trained on predictions of models that had not seen the
 row (out-of-fold), so that it meets in training what it will meet later.
 """
@@ -17,10 +18,12 @@ from pyspark.sql import functions as F
 
 from marquee.llm.words import SEPARATORS, Splitter
 
-LABELLED_ROWS = 20_000  # about the most labelled rows that a chain is fitted on
-BITS = 18
+LABELLED_ROWS = 8_000  # about the most labelled rows that a chain is fitted on
+BITS = 20
+PREFIXES = (4, 5, 6, 7, 8)  # bytes of the beginnings of words
 FOLDS = 3
-LEAST_TEXTS = 3  # a word in fewer training texts has no weight
+LEAST_TEXTS = 3  # what is in fewer training texts has no weight
+LEAST_RATIO = 1.0  # nor has what is about as frequent in both classes
 PUNCTUATION = list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
@@ -39,9 +42,9 @@ def word_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def hashed(column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
-    for words in Splitter(SEPARATORS + PUNCTUATION).chunks(column):
-        places = (words.hashes >> np.uint64(64 - BITS)).astype("<u4")
-        yield words.first, [np.unique(places[a:b]) for a, b in zip(words.offsets, words.offsets[1:])]
+    for words in Splitter(SEPARATORS + PUNCTUATION, PREFIXES).chunks(column):
+        places = (np.stack([words.hashes, *words.prefixes]) >> np.uint64(64 - BITS)).astype("<u4")
+        yield words.first, [np.unique(places[:, a:b]) for a, b in zip(words.offsets, words.offsets[1:])]
 
 
 class Rows(NamedTuple):
@@ -52,7 +55,12 @@ class Rows(NamedTuple):
 
     @classmethod
     def of(cls, rows: list[np.ndarray]) -> Rows:
-        return cls(np.concatenate([*rows, np.zeros(0, "<u4")]).astype(np.int64), np.cumsum([0, *map(len, rows)]))
+        return cls(np.concatenate([*rows, np.zeros(0, "<u4")]).astype(np.int32), np.cumsum([0, *map(len, rows)]))
+
+    def only(self, wanted: np.ndarray) -> Rows:
+        """With the wanted places alone, numbered anew."""
+        keep, number = wanted[self.places], np.cumsum(wanted) - 1
+        return Rows(number[self.places[keep]].astype(np.int32), np.concatenate([[0], np.cumsum(keep)])[self.offsets])
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0.0], np.cumsum(weights[self.places])])
@@ -61,8 +69,8 @@ class Rows(NamedTuple):
     def some(self, which: np.ndarray) -> Rows:
         return Rows.of([self.places[self.offsets[i] : self.offsets[i + 1]] for i in np.flatnonzero(which)])
 
-    def transposed(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.places, np.repeat(values, np.diff(self.offsets)), minlength=1 << BITS)
+    def transposed(self, values: np.ndarray, width: int) -> np.ndarray:
+        return np.bincount(self.places, np.repeat(values, np.diff(self.offsets)), minlength=width)
 
 
 class Linear(NamedTuple):
@@ -74,8 +82,36 @@ class Linear(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(rows.times(self.words) + earlier @ self.earlier + self.bias, -30, 30)))
 
 
-def fit_linear(rows: Rows, earlier: np.ndarray, label: np.ndarray, *, ridge: float = 1e-3, steps: int = 80) -> Linear:
-    """Logistic regression on words scaled by their log-ratio of texts in both classes, by accelerated gradients.
+def minimized(function, x: np.ndarray, *, steps: int = 30, memory: int = 6) -> np.ndarray:
+    """L-BFGS with backtracking; function gives value and gradient."""
+    value, gradient = function(x)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        way, used = -gradient, []
+        for s, y in reversed(past):
+            used.append(s @ way / (s @ y))
+            way = way - used[-1] * y
+        if past:
+            way = way * (past[-1][0] @ past[-1][1]) / (past[-1][1] @ past[-1][1])
+        for (s, y), a in zip(past, reversed(used)):
+            way = way + (a - y @ way / (s @ y)) * s
+        slope, size = gradient @ way, 1.0 if past else 1 / max(1.0, np.abs(gradient).sum())
+        while True:
+            new_value, new_gradient = function(x + size * way)
+            if new_value <= value + 1e-4 * size * slope or size < 1e-10:
+                break
+            size /= 2
+        s, y = size * way, new_gradient - gradient
+        if value - new_value < 1e-7 * max(1.0, abs(value)):
+            return x + s
+        if s @ y > 1e-12:
+            past = [*past[1 - memory :], (s, y)] if len(past) >= memory else [*past, (s, y)]
+        x, value, gradient = x + s, new_value, new_gradient
+    return x
+
+
+def fit_linear(rows: Rows, earlier: np.ndarray, label: np.ndarray, *, ridge: float = 1e-4) -> Linear:
+    """Logistic regression on words and beginnings, scaled by their log-ratio of texts in both classes.
 
     With one class only the model is its constant chance, held within 0.001 and 0.999.
     """
@@ -83,22 +119,22 @@ def fit_linear(rows: Rows, earlier: np.ndarray, label: np.ndarray, *, ridge: flo
     start = np.log((ones + 1e-3 * n + 1e-9) / (n - ones + 1e-3 * n + 1e-9))
     if ones in (0, len(label)):
         return Linear(np.zeros(1 << BITS), np.zeros(earlier.shape[1]), float(start))
-    having, texts = rows.transposed(label.astype(float)), rows.transposed(np.ones(n))
+    having, texts = rows.transposed(label.astype(float), 1 << BITS), rows.transposed(np.ones(len(label)), 1 << BITS)
     ratio = np.log((having + 0.5) / (ones + 1)) - np.log((texts - having + 0.5) / (n - ones + 1))
-    ratio[texts < LEAST_TEXTS] = 0.0
-    lengths = np.concatenate([[0.0], np.cumsum(ratio[rows.places] ** 2)])
-    bound = (lengths[rows.offsets[1:]] - lengths[rows.offsets[:-1]] + (earlier**2).sum(1) + 1).mean() * 4
-    w = np.zeros((1 << BITS) + earlier.shape[1] + 1)
-    w[-1] = start
-    ahead, rate = w.copy(), 1 / (0.25 * bound + ridge)
-    for step in range(steps):
-        margin = rows.times(ratio * ahead[: 1 << BITS]) + earlier @ ahead[1 << BITS : -1] + ahead[-1]
-        off = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - label) / n
-        gradient = np.concatenate([ratio * rows.transposed(off), earlier.T @ off, [off.sum()]]) + ridge * ahead
-        new = ahead - rate * gradient
-        ahead = new + step / (step + 3) * (new - w)
-        w = new
-    return Linear(ratio * w[: 1 << BITS], w[1 << BITS : -1], float(w[-1]))
+    wanted = (texts >= LEAST_TEXTS) & (np.abs(ratio) >= LEAST_RATIO)
+    rows, scale = rows.only(wanted), ratio[wanted]
+    width = len(scale)
+
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+        margin = rows.times(scale * w[:width]) + earlier @ w[width:-1] + w[-1]
+        off = (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - label) / n
+        value = (np.logaddexp(0, margin) - label * margin).sum() / n + ridge / 2 * (w[:-1] @ w[:-1])
+        return value, np.concatenate([scale * rows.transposed(off, width) + ridge * w[:width], earlier.T @ off + ridge * w[width:-1], [off.sum()]])
+
+    w = minimized(loss, np.concatenate([np.zeros(width + earlier.shape[1]), [start]]))
+    words = np.zeros(1 << BITS, np.float32)
+    words[wanted] = scale * w[:width]
+    return Linear(words, w[width:-1], float(w[-1]))
 
 
 def _log_odds(chance: np.ndarray) -> np.ndarray:
@@ -109,8 +145,10 @@ def _log_odds(chance: np.ndarray) -> np.ndarray:
 def fit_chain(rows: Rows, labels: np.ndarray, fold: np.ndarray) -> list[Linear]:
     """A model per column of labels, in order."""
     earlier, chain = np.zeros((len(labels), 0)), []
-    for label in labels.T:
+    for k, label in enumerate(labels.T):
         chain.append(fit_linear(rows, earlier, label))
+        if k == labels.shape[1] - 1:
+            break
         unseen = np.zeros(len(labels))
         for k in np.unique(fold):
             model = fit_linear(rows.some(fold != k), earlier[fold != k], label[fold != k])

@@ -43,10 +43,12 @@ class Words(NamedTuple):
     ends: np.ndarray  # byte after each word
     data: np.ndarray  # bytes of the chunk's texts
     texts: np.ndarray  # byte of each text in data, and the end
+    prefixes: list[np.ndarray]  # uint64 of each word's first bytes, for every asked length; the word's if it is no longer
 
 
 class Splitter:
-    def __init__(self, separators: list[int] | None = None):
+    def __init__(self, separators: list[int] | None = None, prefixes: tuple[int, ...] = ()):
+        self.prefixes = prefixes
         self.fold = folding(SEPARATORS if separators is None else separators)
         self.of_byte = mixed(np.arange(256, dtype=np.uint64) << np.uint64(20))
         self.of_byte[0] = 0
@@ -79,7 +81,7 @@ class Splitter:
         end[last] = word[last]
         starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
         if not len(starts):
-            return Words(first, np.zeros(len(texts), np.int64), np.zeros(0, np.uint64), starts, ends, data, texts)
+            return Words(first, np.zeros(len(texts), np.int64), np.zeros(0, np.uint64), starts, ends, data, texts, [np.zeros(0, np.uint64) for _ in self.prefixes])
         longest = int((ends - starts).max())
         if longest > len(self.of_place):
             self.of_place = self._places(2 * longest)
@@ -88,8 +90,10 @@ class Splitter:
         place = np.arange(len(data), dtype=np.int32) - np.maximum.accumulate(origin)
         np.minimum(place, len(self.of_place) - 1, out=place)  # separators behind a word; they count 0
         with np.errstate(over="ignore"):
-            hashes = mixed(np.add.reduceat(self.of_byte[low] * self.of_place[place], starts))
-        return Words(first, np.searchsorted(starts, texts), hashes, starts, ends, data, texts)
+            values = self.of_byte[low] * self.of_place[place]
+            hashes = mixed(np.add.reduceat(values, starts))
+            prefixes = [mixed(np.add.reduceat(np.where(place < k, values, np.uint64(0)), starts)) for k in self.prefixes]
+        return Words(first, np.searchsorted(starts, texts), hashes, starts, ends, data, texts, prefixes)
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
