@@ -10,6 +10,7 @@ from marquee.llm.bpe import bpe_tokens
 from marquee.llm.quality import quality_scores
 from marquee.llm.secrets import secret_spans, train_char_models
 from marquee.llm.tokenfiles import read_token_files, write_token_files
+from marquee.llm.topk import top_k
 from marquee.llm.toxicity import toxicity_scores, train_toxicity
 from marquee.llm.urls import judge_urls, labelled_urls, train_url_model
 from marquee.sources.paths import scratch_path
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     manifest = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
@@ -53,6 +59,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_exact_top_k": op1_exact_top_k,
     "op3_token_files": op3_token_files,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
@@ -61,4 +68,13 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_exact_top_k": """
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as u from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id,
+    cast(list_sum(list_transform(list_zip(q.u, c.u), lambda p: cast(p[1] * p[2] as bigint))) as bigint) as score
+  from v q join v c on c.vec_id <> q.vec_id and len(c.u) = len(q.u) where q.vec_id % 20 = 0),
+r as (select query_id, vec_id, score, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 20""",
+}
