@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm.bpe import bpe_tokens
+from marquee.llm.ngramlm import lm_scores
 from marquee.llm.quality import quality_scores
 from marquee.llm.secrets import secret_spans, train_char_models
 from marquee.llm.tokenfiles import read_token_files, write_token_files
@@ -31,6 +32,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder, manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lm_scores(table(spark, sf_dir, "documents"))
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chances that a document is toxic, and toxic junk; predicted is 1 for toxic ones."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -61,6 +67,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
     "op3_token_files": op3_token_files,
+    "op5_lm_scores": op5_lm_scores,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
     "op8_byte_bpe": op8_byte_bpe,

@@ -48,7 +48,7 @@ class Words(NamedTuple):
 
 class Splitter:
     def __init__(self, separators: list[int] | None = None, prefixes: tuple[int, ...] = ()):
-        self.prefixes = prefixes
+        self.prefixes, self.chunk_bytes = prefixes, CHUNK_BYTES
         self.fold = folding(SEPARATORS if separators is None else separators)
         self.of_byte = mixed(np.arange(256, dtype=np.uint64) << np.uint64(20))
         self.of_byte[0] = 0
@@ -65,7 +65,7 @@ class Splitter:
         data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
         at = 0
         while at < len(column):
-            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1)
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + self.chunk_bytes, "right")) - 1)
             yield self._split(at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
             at = to
 
