@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm.bpe import bpe_tokens
+from marquee.llm.decontam import contaminated
 from marquee.llm.ngramlm import lm_scores
 from marquee.llm.quality import quality_scores
 from marquee.llm.secrets import secret_spans, train_char_models
@@ -32,6 +33,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder, manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = lm_scores(table(spark, sf_dir, "documents"))
     return scores.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
@@ -67,6 +72,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
     "op3_token_files": op3_token_files,
+    "op4_decontamination": op4_decontamination,
     "op5_lm_scores": op5_lm_scores,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
