@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.bpe import bpe_tokens
 from marquee.llm.decontam import contaminated
+from marquee.llm.jaccard import jaccard_components
 from marquee.llm.ngramlm import lm_scores
 from marquee.llm.quality import quality_scores
 from marquee.llm.secrets import secret_spans, train_char_models
@@ -27,6 +28,10 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     manifest = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
@@ -71,6 +76,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_token_files": op3_token_files,
     "op4_decontamination": op4_decontamination,
     "op5_lm_scores": op5_lm_scores,
