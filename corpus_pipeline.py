@@ -4,17 +4,47 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marquee.llm.bpe import bpe_tokens
+from marquee.llm.decontam import without_contaminated
+from marquee.llm.jaccard import one_of_each
+from marquee.llm.quality import good_documents
+from marquee.llm.secrets import train_char_models, without_secrets
 from marquee.llm.shared import staged
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 1: documents that the quality classifier rejects go."""
+    return good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 2: one document of each group of near copies stays (five words, similarity 0.8)."""
+    return one_of_each(docs, words=5, num=80)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 3: documents that hold a benchmark item go."""
+    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def without_keys(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 4: secrets are replaced; n_chars follows the text."""
+    replaced = without_secrets(docs, train_char_models(docs))
+    return replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage 5: the token ids of every document that is left."""
+    """Stage 5: the token ids of every document that is left, and the round trip."""
     return bpe_tokens(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 STAGES = [
+    ("quality", good),
+    ("jaccard", different),
+    ("decontamination", clean),
+    ("secrets", without_keys),
     ("byte_bpe", encoded),
 ]
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.shared import staged
+from marquee.llm.shared import staged, with_ids
 from marquee.llm.toxicity import PUNCTUATION
 from marquee.llm.words import SEPARATORS, Splitter, grams
 
@@ -199,5 +199,5 @@ def _aligned(passages: DataFrame, items, rare: np.ndarray, score_least: float, i
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of docs whose id has no row in `contaminated`."""
-    found = contaminated(docs, benchmark, id_col=id_col, **options).select(F.col(id_col).alias("__found")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(F.col("__found")), "left_anti")
+    found = staged(contaminated(docs, benchmark, id_col=id_col, **options).select(id_col), "contaminated")
+    return with_ids(docs, found, id_col, "left_anti")

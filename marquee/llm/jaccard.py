@@ -24,13 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.ngramlm import _columns, _packets
-from marquee.llm.shared import staged
+from marquee.llm.shared import staged, with_ids
 from marquee.llm.words import Splitter, grams, mixed
 
 BUCKET_SHINGLES = 1_000_000  # prefix shingles that a task takes at once
 FLUSH_SHINGLES = 1_500_000
 SMALL_SET = 192  # of smaller sets, all shingles are in the first part
-BROADCAST_ROWS = 1_000_000  # ids, 8 bytes each
 ORDERS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 
 
@@ -169,9 +168,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int, limit: Threshold, id_col: str, text_col: str) -> DataFrame:
     """rep, its set, and its prefixes under the second and third order, for the wanted documents."""
-    rows = wanted.count()
-    wanted = F.broadcast(wanted) if rows <= BROADCAST_ROWS else wanted
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("body")).join(wanted, "rep", "left_semi")
+    texts = with_ids(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("body")), wanted, "rep", "left_semi")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Splitter()
@@ -241,3 +238,9 @@ def jaccard_components(docs: DataFrame, *, words: int = 4, num: int = 85, den: i
     by_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component"))
     result = every.join(by_class, "class", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
     return result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of docs, of each component the one of the smallest id alone. Rows without an id stay."""
+    found = jaccard_components(docs, id_col=id_col, **options).where(F.col("component_id") != F.col(id_col))
+    return with_ids(docs, staged(found.select(id_col), "copies"), id_col, "left_anti")

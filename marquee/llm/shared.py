@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marquee.sources.paths import scratch_path
 
@@ -20,6 +21,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 1_000_000  # ids that may be sent to all executors, some 10 MB
+
+
+def with_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
+    """Semi or anti join of docs with a frame of one column of ids; few ids are broadcast, more are shuffled.
+
+    A null id is in ids if a row there is null.
+    """
+    found = ids.select(F.col(ids.columns[0]).alias("__id")).distinct()
+    if found.count() <= BROADCAST_ROWS:
+        found = F.broadcast(found)
+    return docs.join(found, docs[id_col].eqNullSafe(F.col("__id")), how)
+
+
 def worker_state(key: str, make: Callable[[], object]) -> object:
     """Something that a Python worker builds once and keeps for its later tasks."""
     kept = sys.__dict__.setdefault("_marquee_llm_state", {})
