@@ -74,7 +74,8 @@ class Tree:
         return cls(ids[order], vectors[order], low, high, span, least)
 
     def packed(self) -> bytes:
-        small = next(t for t in (np.int8, np.int16, np.int32, np.int64) if not len(self.vectors) or np.abs(self.high).max() <= np.iinfo(t).max and np.abs(self.low).max() <= np.iinfo(t).max)
+        most = max(np.abs(self.high).max(initial=0), np.abs(self.low).max(initial=0))
+        small = next(t for t in (np.int8, np.int16, np.int32, np.int64) if most <= np.iinfo(t).max)
         out = io.BytesIO()
         np.savez(out, ids=self.ids, span=self.span, least=self.least, **{k: getattr(self, k).astype(small) for k in ("vectors", "low", "high")})
         return out.getvalue()

@@ -1,0 +1,54 @@
+import pytest
+
+#: Columns whose names the operators use inside.
+CLASHING = "kind string, data string, class string, rep long, words string, features string, score double, place long, key string, body string"
+
+
+@pytest.fixture
+def documents(spark):
+    """Documents from (doc_id, text) pairs, with clashing columns unless plain."""
+
+    def make(pairs, plain=False):
+        if plain:
+            return spark.createDataFrame(pairs, "doc_id long, text string")
+        return spark.createDataFrame([(*p, *[None] * 10) for p in pairs], f"doc_id long, text string, {CLASHING}")
+
+    return make
+
+
+ODD = [
+    (0, None),
+    (1, ""),
+    (2, " \t\n "),
+    (3, "one"),
+    (4, "word " * 30_000),
+    (5, "x" * 150_000),
+    (6, "é漢😀 İK\x00\x1c\x85\u3000 <|endoftext|> the"),
+    (6, "the same id once more"),
+    (7, "the same id once more"),
+    (None, "no id"),
+]
+
+
+@pytest.fixture
+def odd():
+    return ODD
+
+
+@pytest.fixture(scope="session")
+def sample(spark):
+    def read(name, sf="sf0.001"):
+        return spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet")
+
+    return read
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+@pytest.fixture
+def words():
+    import re
+
+    return lambda text: re.findall(r"[^\x20\x09-\x0d]+", lowered(text))

