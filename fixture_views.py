@@ -1,6 +1,6 @@
 """Views that give the driver's tables the shapes of the raw tables.
 
-The texts run in Spark and in DuckDB; ``{part}`` and the like stand for the driver's tables.
+The texts run in Spark and in DuckDB (``chr(92)`` is a backslash, which the two escape differently in text); ``{part}`` and the like stand for the driver's tables.
 Part plays the person, orders the title and its rating, lineitem the credit, events the run log.
 """
 
@@ -30,7 +30,7 @@ select concat('tt', lpad(cast(o_orderkey as string), 9, '0')) as tconst,
 from {orders}""",
     "title_ratings": """
 select concat('tt', lpad(cast(o_orderkey as string), 9, '0')) as tconst,
-  cast(10 + o_orderkey % 91 as double) / 10 as averageRating,
+  cast(100 + o_orderkey % 901 as double) / 100 as averageRating,
   cast(floor(o_totalprice / 20) as int) as numVotes
 from {orders} where o_orderkey % 10 <> 0""",
     "title_principals": """
@@ -39,8 +39,37 @@ select concat('tt', lpad(cast(l_orderkey as string), 9, '0')) as tconst,
   concat('nm', lpad(cast(l_partkey as string), 7, '0')) as nconst,
   case l_linenumber % 4 when 0 then 'actor' when 1 then 'actress' when 2 then 'director' else 'writer' end as category,
   concat(chr(92), 'N') as job,
-  case when l_linenumber % 3 = 0 then concat(chr(92), 'N') else concat('["', l_returnflag, '","Role ', cast(l_linenumber as string), '"]') end as characters
+  case when l_linenumber % 3 = 0 then concat(chr(92), 'N') when l_linenumber = 5 then '["Self","Host, The"]' else concat('["', l_returnflag, '","Role ', cast(l_linenumber as string), '"]') end as characters
 from {lineitem}""",
+    "title_akas": """
+select concat('tt', lpad(cast(o_orderkey as string), 9, '0')) as titleId, n as ordering,
+  concat('Also ', cast(o_orderkey as string)) as title, case when n = '2' then concat(chr(92), 'N') else o_orderstatus end as region
+from {orders}, (select '1' as n union all select '2' as n) d""",
+    "title_crew": """
+select concat('tt', lpad(cast(o_orderkey as string), 9, '0')) as tconst, concat('nm', cast(o_orderkey % 97 as string)) as directors,
+  concat(chr(92), 'N') as writers
+from {orders}""",
+    "title_episode": """
+select concat('tt', lpad(cast(o_orderkey as string), 9, '0')) as tconst, concat('tt', lpad(cast(o_orderkey + 1 as string), 9, '0')) as parentTconst,
+  cast(o_orderkey % 9 as string) as seasonNumber
+from {orders} where o_orderkey % 6 = 0""",
+    # The second day: titles that changed and moved to another year, and new ones; credits that moved, some of them doubled.
+    "title_basics_2": """
+select concat(case when o_orderkey % 10 = 0 then 'xx' else 'tt' end, lpad(cast(o_orderkey as string), 9, '0')) as tconst,
+  lower(o_orderpriority) as titleType,
+  concat('Title ', cast(o_orderkey as string)) as primaryTitle,
+  concat('Title ', cast(o_orderkey as string)) as originalTitle,
+  0 as isAdult,
+  case when o_orderkey % 14 = 0 then concat(chr(92), 'N') else cast(1951 + o_orderkey % 80 as string) end as startYear,
+  concat(chr(92), 'N') as endYear, '75' as runtimeMinutes, 'Drama' as genres
+from {orders} where o_orderkey % 2 = 0""",
+    "title_principals_2": """
+select concat('tt', lpad(cast(l_orderkey as string), 9, '0')) as tconst,
+  l_linenumber + 10 * n as ordering,
+  concat('nm', lpad(cast(l_partkey as string), 7, '0')) as nconst,
+  case when l_linenumber = 1 then 'self' else 'actor' end as category,
+  concat(chr(92), 'N') as job, concat(chr(92), 'N') as characters
+from {lineitem}, (select 0 as n union all select 1 as n) d where l_linenumber <= 3 and (n = 0 or l_linenumber = 2)""",
     "run_log": """
 select event_type as stage, concat('t', cast(user_id % 7 as string)) as table_name, cast(ts as date) as date,
   case when value > 20 then 'unsuccessful' else 'success' end as status

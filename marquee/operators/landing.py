@@ -12,16 +12,11 @@ from marquee.operators.runlog import latest_success
 from marquee.specs import BATCH_DATE_COLUMN, TableSpec
 
 
-def land_table(raw: DataFrame, spec: TableSpec, batch_date: date, max_rows: int | None = None) -> DataFrame:
-    """Raw rows with the casts and the vote threshold of their table, stamped with the batch date.
-
-    ``max_rows`` caps the volume; which rows remain is then open. It is off by default.
-    """
+def land_table(raw: DataFrame, spec: TableSpec, batch_date: date) -> DataFrame:
+    """Raw rows with the casts and the vote threshold of their table, stamped with the batch date."""
     landed = raw.withColumns({name: number(raw, name, kind) for name, kind in spec.casts.items()})
     if spec.min_votes is not None:
         landed = landed.filter(F.col("numVotes") > spec.min_votes)
-    if max_rows is not None:
-        landed = landed.limit(max_rows)
     return landed.withColumn(BATCH_DATE_COLUMN, F.lit(batch_date))
 
 
@@ -66,8 +61,7 @@ def upsert(
 ) -> DataFrame:
     """Target rows whose key is not in the source, plus the source rows.
 
-    Several source rows with one key: ``error`` refuses them while the query runs, if the target has
-    rows to compare with; ``last`` keeps the last one in the order of ``order_by``; ``all`` keeps
+    Several source rows with one key: ``error`` refuses them while the query runs; ``last`` keeps the last one in the order of ``order_by``; ``all`` keeps
     them all, so that the rows of a key are replaced as a group. A NULL in a key matches nothing: such rows stay in the target, and are
     added from the source, as in an SQL MERGE.
 
@@ -78,9 +72,12 @@ def upsert(
     if on_duplicate not in ("error", "last", "all"):
         raise ValueError(f"on_duplicate must be 'error', 'last' or 'all', not {on_duplicate!r}")
     source_keys = source.filter(has_key(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    guard = None
     if on_duplicate == "error":
         refused = F.concat_ws(" ", F.lit("several source rows for key"), *[F.col(k).cast("string") for k in keys])
         source_keys = source_keys.filter(F.when(F.col("n") == 1, True).otherwise(F.raise_error(refused)))
+        # Also read if the target has nothing to compare with: a branch of the result, without rows.
+        guard = source_keys.filter(F.col("n") != 1).select(*[F.col(c) if c in keys else F.lit(None).cast(source.schema[c].dataType).alias(c) for c in source.columns])
     elif on_duplicate == "last":
         if not order_by:
             raise ValueError("on_duplicate='last' needs order_by")
@@ -88,7 +85,8 @@ def upsert(
 
     kept = target.filter(has_key(keys)).join(source_keys.select(*keys), keys, "left_anti")
     unmatchable = target.filter(~has_key(keys))
-    return kept.select(*target.columns).unionByName(unmatchable).unionByName(source)
+    merged = kept.select(*target.columns).unionByName(unmatchable).unionByName(source)
+    return merged.unionByName(guard) if guard is not None else merged
 
 
 def needs_refresh(run_log: DataFrame, specs: DataFrame, batch_date: date) -> DataFrame:

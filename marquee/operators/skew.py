@@ -2,45 +2,35 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SHARE = 1_000_000
-MAX_HEAVY_KEYS = 100_000
-ONE_TASK_BYTES = 64 * 1024 * 1024
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    """Whether Spark estimates, from file sizes and without running anything, that a task can take it all."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= ONE_TASK_BYTES
+MOST_HEAVY_KEYS = 100_000
 
 
-def heavy_keys(df: DataFrame, key: str, rows_per_share: int = ROWS_PER_SHARE) -> DataFrame:
-    """Keys with more than ``rows_per_share`` rows and the number of shares to cut each into.
+def heavy_keys(df: DataFrame, key: str, rows_per_share: int = ROWS_PER_SHARE, most: int = MOST_HEAVY_KEYS) -> DataFrame:
+    """Keys with more than a share of rows, and the number of shares to cut each into.
 
-    Counting combines before the shuffle, so a hot key costs nothing extra here. The result has at
-    most ``MAX_HEAVY_KEYS`` rows, which is what makes it safe to broadcast. A heavy key beyond that
-    number has less than 1/MAX_HEAVY_KEYS of the rows and takes the normal path of the join.
+    A share is ``rows_per_share`` rows, or 1/``most`` of all rows if that is more. So there are fewer than
+    ``most`` such keys, which is what makes it safe to broadcast them, and every one is cut. The rows are
+    counted right away, as a number in the plan: with a subquery in its place, Spark would not use one
+    count of the keys for all sides of the join. Counting combines before the shuffle, so a hot key costs
+    nothing extra here.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    return (
-        counts.filter(F.col("n_rows") > rows_per_share)
-        .orderBy(F.desc("n_rows"), key)
-        .limit(MAX_HEAVY_KEYS)
-        .select(key, F.ceil(F.col("n_rows") / rows_per_share).cast("int").alias("_shares"))
+    keyed = df.filter(F.col(key).isNotNull())
+    share = max(rows_per_share, -(-keyed.count() // most))
+    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.filter(F.col("n_rows") > share).select(
+        key, F.ceil(F.col("n_rows") / share).cast("int").alias("_shares")
     )
 
 
 def balanced_left_join(
-    lefts: list[DataFrame], right: DataFrame, key: str, rows_per_share: int | None = None
+    lefts: list[DataFrame], right: DataFrame, key: str, rows_per_share: int = ROWS_PER_SHARE
 ) -> DataFrame:
     """``lefts[0] left join lefts[1] ... left join right`` on ``key``, shuffling every input once.
 
-    A small right side (see ``fits_one_task``) is joined as it is, unless ``rows_per_share`` is given.
-
     An outer join keeps its left side whole, so neither Spark nor AQE can cut a hot key of the right
     side. Here the rows of a heavy key on the right are dealt into shares and the few left rows of
     that key are repeated once per share. Keys that are not heavy have one share, so the plan is
@@ -52,10 +42,7 @@ def balanced_left_join(
     when a lost task is run again if ``right`` is a filtered or projected table scan; write any other
     frame to a table first.
     """
-    if rows_per_share is None and fits_one_task(right):
-        return reduce(lambda left, other: left.join(other, key, "left"), [*lefts, right])
-
-    heavy = F.broadcast(heavy_keys(right, key, rows_per_share or ROWS_PER_SHARE))
+    heavy = F.broadcast(heavy_keys(right, key, rows_per_share))  # bounded, see there
 
     def repeated(df: DataFrame) -> DataFrame:
         shares = F.sequence(F.lit(1), F.coalesce("_shares", F.lit(1)))

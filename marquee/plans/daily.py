@@ -4,23 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marquee.operators.cleansed import dim_names, dim_titles, fact_principals
 from marquee.operators.kpis import principal_kpis, serving_kpis
 from marquee.operators.landing import land_table, needs_refresh
 from marquee.operators.runlog import log_rows, serving_run_log
 from marquee.sources import paths
-from marquee.sources.files import scan_table, scan_tsv
-from marquee.sources.tables import append_table, evenly, overwrite_table, table_exists, upsert_table
+from marquee.sources.files import BAD_LINE, header_schema, scan_table, scan_tsv_checked
+from marquee.sources.tables import (
+    append_table,
+    beside,
+    evenly,
+    overwrite_table,
+    refuse_duplicates,
+    table_exists,
+    upsert_table,
+)
 from marquee.specs import (
     AGGREGATED,
     BATCH_DATE_COLUMN,
     CACHE,
     CLEANSED,
-    CLEANSED_STAGE,
+    CLEANSED_STAGES,
     DIM_NAMES,
     DIM_TITLES,
     FACT,
@@ -29,6 +39,7 @@ from marquee.specs import (
     KPIS,
     LANDING,
     NAME_BASICS,
+    REJECTED,
     RUN_LOG,
     RUN_LOG_SCHEMA,
     SERVED_RUN_LOG,
@@ -41,6 +52,7 @@ from marquee.specs import (
 )
 
 Publish = Callable[[DataFrame, str], None]
+MAX_BAD_SHARE = 0.01  # of the lines of a raw file; more fail its stage
 
 
 def raw_paths(root: str) -> dict[str, str]:
@@ -72,8 +84,10 @@ class Batch:
         root: str,
         batch_date: date,
         publish: Publish | None = None,
+        max_bad_share: float = MAX_BAD_SHARE,
     ):
         self.spark = spark
+        self.max_bad_share = max_bad_share
         self.inputs = inputs
         self.root = root
         self.batch_date = batch_date
@@ -98,7 +112,7 @@ class Batch:
 
     def cleanse(self) -> None:
         tables = {DIM_NAMES: self._dim_names, DIM_TITLES: self._dim_titles, FACT: self._fact}
-        self._stages({(CLEANSED_STAGE + table, table): job for table, job in tables.items()})
+        self._stages({(CLEANSED_STAGES[table], table): job for table, job in tables.items()})
 
     def aggregate(self) -> None:
         self._stages({(AGGREGATED, KPIS): self._kpis})
@@ -108,7 +122,7 @@ class Batch:
             self.publish(serving_run_log(read_run_log(self.spark, self.root)), SERVED_RUN_LOG)
 
     def _stages(self, jobs: dict[tuple[str, str], Callable[[], None]]) -> None:
-        """Run independent jobs side by side, log every outcome, then raise the first failure."""
+        """Run independent jobs side by side, log every outcome, then raise the failures: one as it is, several as a group."""
         with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
             outcomes = {target: pool.submit(job) for target, job in jobs.items()}
         failures = {target: outcome.exception() for target, outcome in outcomes.items()}
@@ -117,9 +131,11 @@ class Batch:
             for (stage, table), failure in failures.items()
         ]
         append_table(log_rows(self.spark, rows).coalesce(1), f"{self.root}/{RUN_LOG}", "table_name")
-        for failure in failures.values():
-            if failure:
-                raise failure
+        raised = [failure for failure in failures.values() if failure]
+        if len(raised) == 1:
+            raise raised[0]
+        if raised:
+            raise BaseExceptionGroup("several stages failed", raised)
 
     def _path(self, zone: str, table: str) -> str:
         return f"{self.root}/{zone}/{table}"
@@ -138,15 +154,33 @@ class Batch:
         if action == "skip":
             return
         spec, path = TABLES[name], self._path(LANDING, name)
-        schema = spec.schema
-        if schema is None and action == "upsert":
-            # Types are inferred for the first load only: later files must fit the table.
-            schema = scan_table(self.spark, path).drop(BATCH_DATE_COLUMN).schema
-        landed = land_table(scan_tsv(self.spark, self.inputs[name], schema), spec, self.batch_date)
-        if action == "load":
+        lines = beside(path, "lines")
+        try:
+            raw = self._checked(name, spec, lines)
+            # On a later day rows below the vote threshold also take back the row that their key had.
+            lasting = None if spec.min_votes is None else F.col("numVotes") > spec.min_votes
+            landed = land_table(raw, replace(spec, min_votes=None) if action == "upsert" else spec, self.batch_date)
+            if action == "upsert":
+                upsert_table(landed, path, list(spec.primary_key), spec.partition_by, spec.on_duplicate, keep=lasting)
+                return
+            if spec.on_duplicate == "error":
+                refuse_duplicates(landed, list(spec.primary_key))
             overwrite_table(evenly(landed, spec.partition_by), path, spec.partition_by)
-        else:
-            upsert_table(landed, path, list(spec.primary_key), spec.partition_by, spec.on_duplicate)
+        finally:
+            paths.delete(self.spark, lines)
+
+    def _checked(self, name: str, spec: TableSpec, lines: str) -> DataFrame:
+        """The good lines of a raw file, which is read once into the table ``lines``; bad ones are kept aside."""
+        schema = spec.schema or header_schema(self.spark, self.inputs[name])
+        scan_tsv_checked(self.spark, self.inputs[name], schema).write.parquet(lines)
+        read = scan_table(self.spark, lines)
+        n_lines, n_bad = read.agg(F.count(F.lit(1)), F.count(BAD_LINE)).first()
+        if n_bad:
+            bad = read.filter(F.col(BAD_LINE).isNotNull()).select(F.lit(self.batch_date).alias(BATCH_DATE_COLUMN), F.col(BAD_LINE).alias("line"))
+            append_table(bad, f"{self.root}/{REJECTED}/{name}")
+        if n_bad > self.max_bad_share * n_lines:
+            raise ValueError(f"{n_bad} of {n_lines} lines of {name} do not fit; they are in {REJECTED}/{name}")
+        return read.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
 
     def _dim_names(self) -> None:
         names = read_landed(self.spark, self.root, NAME_BASICS)

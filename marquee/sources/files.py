@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from marquee.specs import NULL_TOKEN
 
@@ -26,6 +26,24 @@ def scan_tsv(
     return reader.csv(path, schema=schema)
 
 
+BAD_LINE = "_bad_line"
+
+
+def header_schema(spark: SparkSession, path: str | list[str]) -> StructType:
+    """The columns that the header names, all as text."""
+    return spark.read.options(sep="\t", header=True, quote="", inferSchema=False).csv(path).schema
+
+
+def scan_tsv_checked(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
+    """As ``scan_tsv``, with a column ``_bad_line``: the line, if it has another number of fields or a value that does not fit.
+
+    Write the frame to a table before anything else: Spark looks at a line only as far as a query needs it.
+    """
+    options = {"sep": "\t", "header": True, "nullValue": NULL_TOKEN, "quote": "", "enforceSchema": False}
+    checked = StructType([*schema.fields, StructField(BAD_LINE, StringType())])
+    return spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE).csv(path, schema=checked)
+
+
 def scan_table(
     spark: SparkSession, path: str, schema: StructType | None = None, table_format: str = "parquet"
 ) -> DataFrame:

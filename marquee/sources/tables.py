@@ -6,9 +6,12 @@ retried by Spark as usual; nothing is kept on an executor.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from marquee.operators.landing import has_key, one_per_key, upsert
 from marquee.sources import paths
@@ -26,37 +29,53 @@ def _previous(path: str) -> str:
     return f"{path}__previous"
 
 
-def _next(path: str) -> str:
-    return f"{path}__next"
+def beside(path: str, what: str) -> str:
+    """A folder next to a table, which all executors see, under a name that no other run has."""
+    return f"{path}__{what}-{uuid4().hex}"
+
 
+ROWS_PER_TASK = 1_000_000
 
-def evenly(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+
+def evenly(df: DataFrame, partition_by: str | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Rows gathered by partition value, in tasks of even size.
 
-    Writing many partition values without this gives every task a file in every partition. AQE joins
-    small partition values into one task and cuts a value that holds a large share of the rows into
-    several, so the one shuffle bounds both the number of files and the work of a task.
+    Writing many partition values without this gives every task a file in every partition. A count of rows
+    per value, combined before its shuffle, says into how many parts a value is to be cut; its rows go to
+    these by a hash of all columns. AQE joins small values into one task. ``df`` is read twice, so it should
+    be a stored table.
     """
-    return df.hint("rebalance", partition_by) if partition_by else df.hint("rebalance")
+    if partition_by is None:
+        return df.hint("rebalance")
+    value = F.col(partition_by)
+    # One row for each directory of the table.
+    parts = df.groupBy(value.alias("_value")).agg(F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("_parts"))
+    parts = parts.filter(F.col("_parts") > 1)
+    cut = df.join(F.broadcast(parts), value.eqNullSafe(F.col("_value")), "left")
+    part = F.pmod(F.xxhash64(*df.columns), F.coalesce("_parts", F.lit(1)))
+    return cut.withColumn("_part", part).hint("rebalance", partition_by, "_part").select(*df.columns)
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace the whole table, schema included.
 
     The rows are written next to the table and take its place when they are complete, so ``df`` may
-    read the table it replaces.
+    read the table it replaces. Two runs don't touch each other's unfinished rows.
     """
     spark = df.sparkSession
     table_exists(spark, path)
-    paths.delete(spark, _next(path))
+    following = beside(path, "next")
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(_next(path))
-    if paths.exists(spark, path):
-        paths.delete(spark, _previous(path))
-        paths.rename(spark, path, _previous(path))
-    paths.rename(spark, _next(path), path)
+    try:
+        writer.parquet(following)
+        if paths.exists(spark, path):
+            paths.delete(spark, _previous(path))
+            paths.rename(spark, path, _previous(path))
+        paths.rename(spark, following, path)
+    finally:
+        paths.delete(spark, following)
     paths.delete(spark, _previous(path))
 
 
@@ -84,12 +103,21 @@ def _is_one_of(column: str, values: list) -> Column:
     return is_known | F.col(column).isNull() if len(known) < len(values) else is_known
 
 
-def replace_partition(df: DataFrame, path: str, partition_by: str, value: str) -> None:
+def _empty_as_null(df: DataFrame, partition_by: str) -> DataFrame:
+    """Empty text in the partition column as NULL: Spark stores both in the same directory."""
+    if not isinstance(df.schema[partition_by].dataType, StringType):
+        return df
+    return df.withColumn(partition_by, F.nullif(F.col(partition_by), F.lit("")))
+
+
+def replace_partition(df: DataFrame, path: str, partition_by: str, value: str | None) -> None:
     """Replace the rows of one partition value; rows of ``df`` with another value are refused.
 
-    Without rows in ``df`` the partition is removed. ``df`` may read the same table.
+    Without rows in ``df`` the partition is removed. ``df`` may read the same table. Empty text and NULL are
+    the same partition, that of NULL.
     """
     spark = df.sparkSession
+    df, value = _empty_as_null(df, partition_by), None if value == "" else value
     table_exists(spark, path)
     refused = F.concat_ws(" ", F.lit(f"row outside partition {value}:"), F.col(partition_by).cast("string"))
     inside = F.when(F.col(partition_by).eqNullSafe(F.lit(value)), True).otherwise(F.raise_error(refused))
@@ -117,16 +145,22 @@ def upsert_table(
     partition_by: str | None = None,
     on_duplicate: str = "error",
     order_by: list[str] | None = None,
+    add_columns: bool = False,
+    keep: Column | None = None,
 ) -> None:
     """Upsert into a stored table.
 
+    The source must have all columns of the table, because a matched row is replaced as a whole. It may bring
+    further ones only with ``add_columns``; rows that stay then have NULL there. With ``keep``, source rows
+    that don't fulfil it replace the row of their key by nothing.
+
     An unpartitioned table is rewritten. Of a partitioned one, only the partitions that receive rows
     or lose a matched row are rewritten. To find the latter, the keys of the partitions that receive
     nothing are read; when the source is a full copy of the data there are none. A row may move to
     another partition, and a partition that loses all its rows is removed afterwards. If the driver dies
     before that, running the same upsert again completes it.
 
-    The source is written to a scratch table first, because it is used more than once and may be
+    The source is written to a table beside this one first, because it is used more than once and may be
     expensive to read (gzip text is decoded by one task per file).
     """
     spark = source.sparkSession
@@ -135,24 +169,39 @@ def upsert_table(
         raise ValueError(f"on_duplicate must be 'error', 'last' or 'all', not {on_duplicate!r}")
     if on_duplicate == "last" and not order_by:
         raise ValueError("on_duplicate='last' needs order_by")
-    scratch = paths.scratch_path(spark, "batch")
+    _check_columns(source, path, add_columns)
+    if partition_by:
+        source = _empty_as_null(source, partition_by)
+    scratch = beside(path, "batch")
     try:
         source.write.parquet(scratch)
         batch = spark.read.schema(source.schema).parquet(scratch)
         target = scan_table(spark, path, source.schema)
         if on_duplicate == "error":
-            _refuse_duplicates(batch, keys)
+            refuse_duplicates(batch, keys)
         elif on_duplicate == "last":
             batch = one_per_key(batch, keys, order_by)
         if partition_by is None:
-            overwrite_table(upsert(target, batch, keys, "all"), path)
+            merged = upsert(target, batch, keys, "all")
+            overwrite_table(merged if keep is None else merged.filter(keep), path)
         else:
-            _upsert_partitions(target, batch, path, keys, partition_by)
+            _upsert_partitions(target, batch, path, keys, partition_by, keep)
     finally:
         paths.delete(spark, scratch)
 
 
-def _refuse_duplicates(batch: DataFrame, keys: list[str]) -> None:
+def _check_columns(source: DataFrame, path: str, add_columns: bool) -> None:
+    try:
+        stored = scan_table(source.sparkSession, path).columns
+    except AnalysisException:  # no file says what the columns are
+        return
+    missing = [c for c in stored if c not in source.columns]
+    added = [c for c in source.columns if c not in stored]
+    if missing or added and not add_columns:
+        raise ValueError(f"columns of source and table differ: missing {missing}, added {added}")
+
+
+def refuse_duplicates(batch: DataFrame, keys: list[str]) -> None:
     """Looked for before anything is written, and also in a table without rows to compare with."""
     counted = batch.filter(has_key(keys)).groupBy(*keys).count()
     for row in counted.filter(F.col("count") > 1).limit(1).collect():
@@ -160,7 +209,7 @@ def _refuse_duplicates(batch: DataFrame, keys: list[str]) -> None:
 
 
 def _upsert_partitions(
-    target: DataFrame, batch: DataFrame, path: str, keys: list[str], partition_by: str
+    target: DataFrame, batch: DataFrame, path: str, keys: list[str], partition_by: str, keep: Column | None = None
 ) -> None:
     # Both results have one row per partition value: no more than the directories of the table.
     received = [row[0] for row in batch.select(partition_by).distinct().collect()]
@@ -180,6 +229,8 @@ def _upsert_partitions(
     emptied = [row[partition_by] for row in affected if row["n_rows"] == row["n_matched"]]
 
     merged = upsert(target.filter(_is_one_of(partition_by, touched)), batch, keys, "all")
+    if keep is not None:
+        merged = merged.filter(keep)
     _overwrite_partitions(evenly(merged, partition_by), path, partition_by)
     if emptied:
         _remove_partitions(target.filter(_is_one_of(partition_by, emptied)), partition_by)

@@ -31,13 +31,18 @@ RATING_TYPE = DecimalType(10, 1)
 AVERAGE_RATING_TYPE = DecimalType(14, 5)
 SUCCESS = "success"
 FAILURE = "unsuccessful"
-# Zones (folders, and for the first, second and fourth also the stage in the run log) and tables. The
-# stage of a cleansed table is CLEANSED_STAGE followed by the table name.
+# Zones (folders, and for the first, second and fourth also the stage in the run log), stages
+# of the cleansed tables, and tables.
 CACHE = "cache"
 LANDING = "landing_zone"
 CLEANSED = "cleansed_zone"
 AGGREGATED = "aggregated_zone"
-CLEANSED_STAGE = "cleansed_"
+CLEANSED_STAGES = {
+    "dim_names": "cleansed_dim_names",
+    "dim_titles": "cleansed_dim_titles",
+    "fact_title_principals": "cleansed_fact_title_principals",
+}
+REJECTED = "rejected"
 RUN_LOG = "metadata"
 DIM_NAMES = "dim_names"
 DIM_TITLES = "dim_titles"
@@ -54,7 +59,7 @@ def _schema(**columns: DataType) -> StructType:
 class TableSpec:
     """A raw table: its key, how its landed copy is partitioned and which rows and types it lands with.
 
-    ``schema`` is what the raw file is read with; without one the types are inferred. ``casts`` are
+    ``schema`` is what the raw file is read with; without one, the header names columns of text. ``casts`` are
     applied while landing, for frames that did not come from a typed scan. ``min_votes`` keeps only
     rows with more votes than that. ``on_duplicate`` is how an upsert treats several new rows of a key.
     """
@@ -127,8 +132,8 @@ TITLE_RATINGS = TableSpec(
     casts={"numVotes": IntegerType()},
     min_votes=MIN_VOTES,
 )
-# Only the keys of these three are known; they are landed and not used further.
-TITLE_AKAS = TableSpec("title_akas", ("titleId", "ordering"))
+# Only the keys of these three are known; they are landed, as text but for the number, and not used further.
+TITLE_AKAS = TableSpec("title_akas", ("titleId", "ordering"), casts={"ordering": IntegerType()})
 TITLE_CREW = TableSpec("title_crew", ("tconst",))
 TITLE_EPISODE = TableSpec("title_episode", ("tconst",))
 

@@ -124,7 +124,7 @@ def as_set(frame):
     return set(found)
 
 
-@pytest.mark.parametrize("rows_per_share", [None, 1, 2, 1000])
+@pytest.mark.parametrize("rows_per_share", [1_000_000, 1, 2, 1000])
 def test_fact_principals(raw, rows_per_share):
     result = fact_principals(*raw, rows_per_share=rows_per_share)
     assert result.columns == ["tconst", "run_time_minutes", "rating", "num_votes", "nconst", "role", "characters"]

@@ -116,7 +116,7 @@ def test_second_run_of_the_day_skips_landing(spark, lake, monkeypatch):
     def unexpected(*arguments):
         raise AssertionError("landed again")
 
-    monkeypatch.setattr(daily, "scan_tsv", unexpected)
+    monkeypatch.setattr(daily, "scan_tsv_checked", unexpected)
     run(D1)
     assert log_of(spark, root, D1) == {(*stage, D1, "success") for stage in STAGES}
     assert read_run_log(spark, root).count() == 2 * len(STAGES)
@@ -182,3 +182,42 @@ def test_missing_input_is_a_failed_stage(spark, lake):
 
 def test_log_is_empty_before_the_first_run(spark, tmp_path):
     assert read_run_log(spark, str(tmp_path)).count() == 0
+
+
+def test_bad_lines_are_kept_aside(spark, lake, rows):
+    root, store, run = lake
+    many = [f"tt{i} parent{i} {i}" for i in range(300)]
+    write_raw(root, title_episode=["tconst parentTconst seasonNumber", *many, "short line", "tt9 tt1 2 surplus"])
+    run(D1)
+    episodes = f"{root}/landing_zone/title_episode"
+    assert scan_table(spark, episodes).count() == 300
+    rejected = scan_table(spark, f"{root}/rejected/title_episode")
+    assert rows(rejected) == [(D1, "short\tline"), (D1, "tt9\ttt1\t2\tsurplus")]
+    write_raw(root, title_episode=["tconst parentTconst seasonNumber", "tt1 new 2b", *many[2:]])  # no number: stays text
+    run(D2)
+    assert rows(scan_table(spark, episodes).filter("tconst = 'tt1'").select("parentTconst", "seasonNumber")) == [("new", "2b")]
+
+
+def test_too_many_bad_lines_fail_the_stage(spark, lake):
+    root, store, run = lake
+    write_raw(root, title_ratings=["tconst averageRating numVotes", "tt1 7.5 20000", "tt2 nine 30000"])
+    with pytest.raises(ValueError, match="1 of 2 lines of title_ratings do not fit"):
+        run(D1)
+    assert ("landing_zone", "title_ratings", D1, "unsuccessful") in log_of(spark, root, D1)
+    assert [r.line for r in scan_table(spark, f"{root}/rejected/title_ratings").collect()] == ["tt2\tnine\t30000"]
+
+
+def test_first_load_refuses_a_repeated_key(spark, lake):
+    root, store, run = lake
+    write_raw(root, title_basics=[*RAW["title_basics"], RAW["title_basics"][1]], title_crew=["tconst directors", "tt1 a", "tt1 b"])
+    with pytest.raises(BaseExceptionGroup) as raised:
+        run(D1)
+    assert sorted(str(e) for e in raised.value.exceptions) == ["several source rows for key tt1"] * 2
+
+
+def test_rating_that_falls_below_the_threshold_goes(spark, lake, rows):
+    root, store, run = lake
+    run(D1)
+    write_raw(root, title_ratings=["tconst averageRating numVotes", "tt1 7.5 9000", "tt3 8.0 10001"])
+    run(D2)
+    assert rows(read_landed(spark, root, TABLES["title_ratings"]).select("tconst", "today_date")) == [("tt3", D2)]

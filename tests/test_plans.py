@@ -85,7 +85,7 @@ def test_dimensions_are_narrow_and_pruned_by_year(landed):
 
 def test_fact_shuffles_each_input_once(landed, shuffled):
     text = plan(fact_principals(landed["titles"], landed["ratings"], landed["principals"]))
-    assert exchanges(text) == ["hashpartitioning"] * 3
+    assert len(re.findall(r"hashpartitioning\(tconst#\d+, _share#\d+", text)) == 3
     assert "Cartesian" not in text and "NestedLoop" not in text
     assert re.search(r"PartitionFilters: \[category#\d+ IN \(actor,actress\)\]", text)
     assert re.search(r"PartitionFilters: \[[^\]]*startYear#\d+ > 1960", text)
@@ -97,7 +97,7 @@ def test_balanced_fact_adds_only_the_count_of_heavy_keys(landed, shuffled):
     counted = re.findall(r"hashpartitioning\(tconst#\d+, \d+\)", text)
     assert len(on_key_and_share) == 3
     assert len(counted) == 3  # the same count for each input: run once and reused
-    assert len(re.findall(r"TakeOrderedAndProject\(limit=100000", text)) == 3
+    assert "TakeOrdered" not in text and "Limit" not in text
 
 
 def test_heavy_keys_are_counted_once(landed, shuffled):

@@ -2,7 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from marquee.operators.skew import balanced_left_join, fits_one_task, heavy_keys
+from marquee.operators.skew import balanced_left_join, heavy_keys
 
 
 def hot(spark, n=3000):
@@ -56,9 +56,12 @@ def test_hot_key_is_spread(spark):
             spark.conf.set(name, value)
 
 
-def test_small_side_is_joined_as_it_is(spark, tmp_path):
-    small = spark.range(10).select(F.col("id").alias("k"))
-    assert fits_one_task(small)
-    assert not fits_one_task(spark.range(100_000_000))
-    plan = balanced_left_join([small], small, "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "_share" not in plan
+def test_no_key_above_the_share_stays_whole(spark):
+    """However small the asked share, the bound follows from the counted rows, and all keys beyond it are cut."""
+    rows = spark.range(600).select((F.col("id") % 20).alias("k")).unionByName(spark.range(400).select(F.lit(99).cast("long").alias("k")))
+    for most in (4, 10, 50, 1000):
+        share = max(2, -(-1000 // most))
+        cut = {r.k: r._shares for r in heavy_keys(rows, "k", 2, most).collect()}
+        sizes = {**{k: 30 for k in range(20)}, 99: 400}
+        assert cut == {k: -(-n // share) for k, n in sizes.items() if n > share}
+        assert len(cut) <= most

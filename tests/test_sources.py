@@ -11,6 +11,7 @@ from marquee.sources import paths
 from marquee.sources.files import read_source, scan_table, scan_tsv
 from marquee.sources.tables import (
     append_table,
+    beside,
     evenly,
     overwrite_table,
     replace_partition,
@@ -282,3 +283,43 @@ def test_principals_schema_reads_partition_column_as_text(spark, path):
     df = spark.createDataFrame([("tt1", 1, "nm1", "1", None, None)], TITLE_PRINCIPALS.schema)
     overwrite_table(df, path, "category")
     assert scan_table(spark, path, df.schema).first()["category"] == "1"
+
+
+def test_empty_text_and_null_are_one_partition(spark, path, rows):
+    schema = "k string, p string, v int"
+    overwrite_table(spark.createDataFrame([("a", None, 1), ("b", None, 2), ("c", "x", 3)], schema), path, "p")
+    upsert_table(spark.createDataFrame([("z", "", 9)], schema), path, ["k"], "p")
+    stored = lambda: rows(scan_table(spark, path, spark.createDataFrame([], schema).schema))
+    assert stored() == sorted([("a", None, 1), ("b", None, 2), ("c", "x", 3), ("z", None, 9)], key=repr)
+    replace_partition(spark.createDataFrame([("n", "", 5)], schema), path, "p", "")
+    assert stored() == sorted([("c", "x", 3), ("n", None, 5)], key=repr)
+
+
+@pytest.mark.parametrize("partition_by", [None, "w"])
+def test_upsert_refuses_other_columns(spark, path, rows, partition_by):
+    overwrite_table(spark.createDataFrame([("a", "x", 1), ("b", "x", 2)], "k string, w string, v int"), path, partition_by)
+    with pytest.raises(ValueError, match="missing"):
+        upsert_table(spark.createDataFrame([("a", 5)], "k string, v int"), path, ["k"])
+    more = spark.createDataFrame([("a", "x", 5, True)], "k string, w string, v int, n boolean")
+    with pytest.raises(ValueError, match="added"):
+        upsert_table(more, path, ["k"], partition_by)
+    upsert_table(more, path, ["k"], partition_by, add_columns=True)
+    assert rows(scan_table(spark, path, more.schema)) == [("a", "x", 5, True), ("b", "x", 2, None)]
+
+
+def test_one_large_partition_value_of_one_file_is_cut(spark, path, tmp_path):
+    """All rows have the same value and come from one task, so only the dealt parts can spread them."""
+    source = str(tmp_path / "source")
+    spark.range(40_000).select(F.col("id").alias("k"), F.lit(None).cast("int").alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("v")).coalesce(1).write.parquet(source)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "400k")
+    try:
+        overwrite_table(evenly(spark.read.parquet(source), "p", rows_per_task=1_000), path, "p")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    sizes = [f.stat().st_size for f in Path(path).rglob("*.parquet")]
+    assert len(sizes) >= 4 and max(sizes) < sum(sizes) / 2
+
+
+def test_two_runs_do_not_share_side_names(path):
+    assert beside(path, "next") != beside(path, "next")
