@@ -9,9 +9,11 @@ shingles. Candidates must do so under three orders:
 2., 3. Two orders by hash, whose prefixes must meet as well before two sets are compared.
 
 Documents of equal sets are one class. Within a shingle's classes, first the two outermost are compared with all
-others, which leaves most shingles with classes of one component; then, where several components meet, all
-pairs between different ones. So every link between components is found, without listing the pairs within
-a group of copies. Components come from alternating minimum stars over the links.
+others, which leaves many shingles with classes of one component. Where several components meet, all pairs
+between different ones are compared in blocks by bit signatures, whose distance is at most the number
+of shingles that two sets don't share, and only pairs that this leaves become rows. So every link
+between components is found, without listing the pairs within a group of copies. Components come from
+alternating minimum stars over the links.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from marquee.llm.ngramlm import _columns, _packets
 from marquee.llm.shared import staged, with_ids
 from marquee.llm.words import Splitter, grams, mixed
 
+SIGNATURE_BITS = 2048
+BLOCK_ROWS = 1024  # classes of a shingle that are compared with as many at once
 BUCKET_SHINGLES = 1_000_000  # prefix shingles that a task takes at once
 FLUSH_SHINGLES = 1_500_000
 SMALL_SET = 192  # of smaller sets, all shingles are in the first part
@@ -167,7 +171,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int, limit: Threshold, id_col: str, text_col: str) -> DataFrame:
-    """rep, its set, and its prefixes under the second and third order, for the wanted documents."""
+    """rep, its set, its prefixes under the second and third order, and its signature, for the wanted documents."""
     texts = with_ids(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("body")), wanted, "rep", "left_semi")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,10 +183,81 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int, limit: Threshold, id_col:
                 columns = [[x.view(np.int64) for x in sets]]
                 for order in ORDERS:
                     columns.append([found[np.argsort(mixed(found ^ order))][: len(found) - int(limit.overlap(np.int64(len(found)))) + 1].view(np.int64) for found in sets])
-                yield pa.RecordBatch.from_arrays([batch.column(0)[words.first : words.first + len(sets)], *[pa.array(c, lists) for c in columns]], names=["rep", "grams", "second", "third"])
+                ids, bits = batch.column(0)[words.first : words.first + len(sets)], pa.array([signature(x) for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, lists) for c in columns], bits], names=["rep", "grams", "second", "third", "bits"])
 
-    # Rows of an id that is repeated with another text are not the class's text; the caller drops them by size.
-    return staged(texts.mapInArrow(scan, "rep long, grams array<long>, second array<long>, third array<long>"), "sets")
+    return texts.mapInArrow(scan, "rep long, grams array<long>, second array<long>, third array<long>, bits binary")
+
+
+def signature(grams: np.ndarray) -> bytes:
+    """A bit for each of SIGNATURE_BITS parts of the shingles: whether the set has an odd number of them."""
+    counts = np.bincount((grams >> np.uint64(17)).astype(np.int64) % SIGNATURE_BITS, minlength=SIGNATURE_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def compared(rep: np.ndarray, n: np.ndarray, component: np.ndarray, bits: np.ndarray, left: np.ndarray, right: np.ndarray, limit: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of left and right that are of different components and may be similar."""
+    signs = np.unpackbits(bits, axis=1).astype(np.float32) * 2 - 1
+    apart = (SIGNATURE_BITS - signs[left] @ signs[right].T) / 2
+    total = n[left][:, None] + n[right][None, :]
+    may = apart * (limit.den + limit.num) <= total * (limit.den - limit.num)
+    may &= limit.den * np.minimum(n[left][:, None], n[right][None, :]) >= limit.num * np.maximum(n[left][:, None], n[right][None, :])
+    may &= component[left][:, None] != component[right][None, :]
+    if left is right:
+        may = np.triu(may, 1)
+    x, y = np.nonzero(may)
+    return left[x], right[y]
+
+
+def _across(postings: DataFrame, limit: Threshold) -> DataFrame:
+    """Pairs (a, b) that share a shingle across components and may be similar, from rows of
+    shingle, members, rep, n, component, bits; a shingle's classes meet in pairs of blocks of about BLOCK_ROWS.
+    """
+    blocks = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
+    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.struct(F.least(b, F.col("block")).alias("low"), F.greatest(b, F.col("block")).alias("high")))
+    dealt = postings.withColumn("block", own).withColumn("pair", F.explode(pairs))
+    columns = ["shingle", "pair.low", "pair.high", "block", "rep", "n", "component", "bits"]
+    dealt = dealt.select(*columns).repartition("shingle", "low", "high").sortWithinPartitions("shingle", "low", "high")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+
+        def pairs_of(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+            shingle, low, high, block, rep, n, component = (rows.column(i).to_numpy() for i in range(7))
+            bits = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint8).reshape(len(rep), -1)
+            edge = np.flatnonzero(np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]), [True]]))
+            found = [np.zeros((0, 2), np.int64)]
+            for a, b in zip(edge[:-1], edge[1:]):
+                place = np.arange(a, b)
+                left = place[block[a:b] == low[a]]
+                right = left if low[a] == high[a] else place[block[a:b] == high[a]]
+                x, y = compared(rep, n, component, bits, left, right, limit) if len(left) and len(right) else (left[:0], right[:0])
+                found.append(np.stack([np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])], 1))
+            return np.unique(np.concatenate(found), axis=0).T
+
+        def out(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+            a, b = pairs_of(pa.Table.from_batches(rows).combine_chunks().to_batches()[0])
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                # A pair of blocks may go on in the next part, so its rows wait.
+                keys = [part.column(i).to_numpy() for i in range(3)]
+                last = np.flatnonzero((keys[0] != keys[0][-1]) | (keys[1] != keys[1][-1]) | (keys[2] != keys[2][-1]))
+                cut = int(last[-1]) + 1 if len(last) else 0
+                first = [waiting[0].column(i)[0].as_py() for i in range(3)] if waiting else None
+                if waiting and (cut or first != [k[0] for k in keys]):
+                    yield out([*waiting, part.slice(0, cut)] if cut else waiting)
+                    waiting = []
+                elif cut:
+                    yield out([part.slice(0, cut)])
+                waiting.append(part.slice(cut))
+        if waiting:
+            yield out(waiting)
+
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
@@ -222,17 +297,14 @@ def jaccard_components(docs: DataFrame, *, words: int = 4, num: int = 85, den: i
     star = met_ends.select("rep", "n", F.explode(F.array("low", "high")).alias("end")).where(F.col("rep") != F.col("end.rep")).where(near(F.col("n"), F.col("end.n")))
     pairs = star.select(F.least("rep", "end.rep").alias("a"), F.greatest("rep", "end.rep").alias("b")).distinct()
     sets = _sets(docs, met_ends.select("rep").distinct(), words, limit, id_col, text_col)
-    sizes = classes.select("rep", "n")
-    sets = sets.join(sizes, "rep").where(F.size("grams") == F.col("n")).drop("n")
+    # Of an id that is repeated with another text, the class's text is meant.
+    sets = staged(sets.join(classes.select("rep", "n"), "rep").where(F.size("grams") == F.col("n")).drop("n"), "sets")
     links = staged(_linked(pairs, sets, limit), "star-links")
     found = components(links)
     # Where a shingle's classes are of several components, compare across them.
     labelled = postings.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    open_ = labelled.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("shingle")
-    rest = staged(labelled.join(open_, "shingle"), "open-postings")
-    x, y = rest.alias("x"), rest.alias("y")
-    across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component")) & near(F.col("x.n"), F.col("y.n")))
-    more = across.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    open_ = labelled.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members")).where("x <> y").select("shingle", "members")
+    more = staged(_across(labelled.join(open_, "shingle").join(sets.select("rep", "bits"), "rep"), limit), "pairs-across")
     links = staged(links.union(_linked(more, sets, limit)), "all-links")
     found = components(links)
     by_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component"))
