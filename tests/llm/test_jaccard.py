@@ -73,3 +73,41 @@ def test_prefix_never_misses():
     limit = Threshold(85, 100)
     for n in list(range(1, 400)) + [640, 900, 5000]:
         assert 1 <= limit.prefix(n) <= n
+
+
+def test_family_of_variants_in_blocks(documents, words, monkeypatch):
+    """Variants of one text, most of them too far from the outermost ones: links are found across blocks."""
+    import marquee.llm.jaccard as module
+
+    monkeypatch.setattr(module, "BLOCK_ROWS", 5)
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(160)]
+    rows = []
+    for k in range(70):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 6, 9])):
+            copy[rng.randrange(160)] = f"x{k}y{rng.randrange(10**6)}"
+        rows.append((rng.randrange(10**6), " ".join(copy)))
+    got = {r.doc_id: [(r.n_shingles, r.component_id)] for r in jaccard_components(documents(rows)).collect()}
+    want = brute(rows, words, 4, 85, 100)
+    assert got == want
+    assert 1 < len({c for ((_, c),) in want.values()}) < len(rows)
+
+
+def test_signatures_never_lose_a_similar_pair():
+    import numpy as np
+
+    from marquee.llm.jaccard import compared, signature
+
+    rng, limit = np.random.default_rng(4), Threshold(85, 100)
+    for size in (5, 150, 3000, 20_000):
+        base = rng.integers(0, 2**63, size).astype(np.uint64)
+        sets = [np.unique(np.concatenate([base[: size - k], rng.integers(0, 2**63, k).astype(np.uint64)])) for k in (0, size // 50, size // 14, size // 10, size // 3)]
+        bits = np.stack([np.frombuffer(signature(x), np.uint8) for x in sets])
+        place = np.arange(len(sets))
+        may = set(zip(*map(np.ndarray.tolist, compared(place, np.array([len(x) for x in sets]), place, bits, place, place, limit))))
+        for a in place:
+            for b in place[a + 1 :]:
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                    assert (a, b) in may
