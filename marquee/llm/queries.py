@@ -96,4 +96,16 @@ s as (select q.vec_id as query_id, c.vec_id,
   from v q join v c on c.vec_id <> q.vec_id and len(c.u) = len(q.u) where q.vec_id % 20 = 0),
 r as (select query_id, vec_id, score, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 20""",
+    "op2_ngram_jaccard": r"""
+with recursive w as (select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+  from documents where doc_id is not null),
+s as (select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 4 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) end) as g from w),
+u as (select doc_id, len(g) as n, unnest(g) as shingle from s),
+links as (select a.doc_id as a, b.doc_id as b from u a join u b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach as (select doc_id as a, doc_id as b from s union select reach.a, links.b from reach join links on reach.b = links.a)
+select s.doc_id, cast(len(s.g) as bigint) as n_shingles, r.component_id
+from s join (select a, min(b) as component_id from reach group by a) r on r.a = s.doc_id""",
 }
