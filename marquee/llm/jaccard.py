@@ -30,6 +30,8 @@ from marquee.llm.shared import staged, with_ids
 from marquee.llm.words import Splitter, grams, mixed
 
 SIGNATURE_BITS = 2048
+FEW = 64  # classes of a shingle up to which their pairs are listed in memory instead of multiplied as matrices
+PAIRS_AT_ONCE = 1 << 15
 BLOCK_ROWS = 1024  # classes of a shingle that are compared with as many at once
 BUCKET_SHINGLES = 1_000_000  # prefix shingles that a task takes at once
 FLUSH_SHINGLES = 1_500_000
@@ -195,20 +197,37 @@ def signature(grams: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
-def compared(rep: np.ndarray, n: np.ndarray, component: np.ndarray, bits: np.ndarray, left: np.ndarray, right: np.ndarray, limit: Threshold) -> tuple[np.ndarray, np.ndarray]:
+def _possible(n_left: np.ndarray, n_right: np.ndarray, limit: Threshold) -> np.ndarray:
+    return limit.den * np.minimum(n_left, n_right) >= limit.num * np.maximum(n_left, n_right)
+
+
+def compared(n: np.ndarray, component: np.ndarray, bits: np.ndarray, left: np.ndarray, right: np.ndarray, limit: Threshold) -> tuple[np.ndarray, np.ndarray]:
     """Places of the pairs of left and right that are of different components and may be similar."""
-    signs = np.unpackbits(bits, axis=1).astype(np.float32) * 2 - 1
-    apart = (SIGNATURE_BITS - signs[left] @ signs[right].T) / 2
-    total = n[left][:, None] + n[right][None, :]
-    may = apart * (limit.den + limit.num) <= total * (limit.den - limit.num)
-    may &= limit.den * np.minimum(n[left][:, None], n[right][None, :]) >= limit.num * np.maximum(n[left][:, None], n[right][None, :])
-    may &= component[left][:, None] != component[right][None, :]
+    signs = [np.unpackbits(bits[side], axis=1).astype(np.float32) * 2 - 1 for side in (left, right)]
+    apart = (SIGNATURE_BITS - signs[0] @ signs[1].T) / 2
+    n_left, n_right = n[left][:, None], n[right][None, :]
+    may = apart * (limit.den + limit.num) <= (n_left + n_right) * (limit.den - limit.num)
+    may &= _possible(n_left, n_right, limit) & (component[left][:, None] != component[right][None, :])
     if left is right:
         may = np.triu(may, 1)
     x, y = np.nonzero(may)
     return left[x], right[y]
 
 
+def compared_few(n: np.ndarray, component: np.ndarray, bits: np.ndarray, starts: np.ndarray, size: int, limit: Threshold) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same within many groups of `size` rows each, given by where they begin."""
+    x, y = np.triu_indices(size, 1)
+    words = bits.view(np.uint64)
+    for at in range(0, len(starts), max(1, PAIRS_AT_ONCE // len(x))):
+        first = starts[at : at + max(1, PAIRS_AT_ONCE // len(x))][:, None]
+        left, right = (first + x).ravel(), (first + y).ravel()
+        keep = (component[left] != component[right]) & _possible(n[left], n[right], limit)
+        left, right = left[keep], right[keep]
+        apart = np.bitwise_count(words[left] ^ words[right]).sum(1, dtype=np.int64)
+        keep = apart * (limit.den + limit.num) <= (n[left] + n[right]) * (limit.den - limit.num)
+        yield left[keep], right[keep]
+
+
 def _across(postings: DataFrame, limit: Threshold) -> DataFrame:
     """Pairs (a, b) that share a shingle across components and may be similar, from rows of
     shingle, members, rep, n, component, bits; a shingle's classes meet in pairs of blocks of about BLOCK_ROWS.
@@ -225,16 +244,21 @@ def _across(postings: DataFrame, limit: Threshold) -> DataFrame:
 
         def pairs_of(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
             shingle, low, high, block, rep, n, component = (rows.column(i).to_numpy() for i in range(7))
-            bits = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint8).reshape(len(rep), -1)
+            bits = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint8).reshape(len(rep), SIGNATURE_BITS // 8)
             edge = np.flatnonzero(np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]), [True]]))
-            found = [np.zeros((0, 2), np.int64)]
-            for a, b in zip(edge[:-1], edge[1:]):
+            starts, sizes = edge[:-1], np.diff(edge)
+            few = (sizes <= FEW) & (low[starts] == high[starts])
+            found = [np.zeros((2, 0), np.int64)]
+            for size in np.unique(sizes[few & (sizes > 1)]):
+                found += compared_few(n, component, bits, starts[few & (sizes == size)], int(size), limit)
+            for a, b in zip(starts[~few], (starts + sizes)[~few]):
                 place = np.arange(a, b)
                 left = place[block[a:b] == low[a]]
                 right = left if low[a] == high[a] else place[block[a:b] == high[a]]
-                x, y = compared(rep, n, component, bits, left, right, limit) if len(left) and len(right) else (left[:0], right[:0])
-                found.append(np.stack([np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])], 1))
-            return np.unique(np.concatenate(found), axis=0).T
+                if len(left) and len(right):
+                    found.append(compared(n, component, bits, left, right, limit))
+            x, y = np.concatenate(found, axis=1)
+            return np.unique(np.stack([np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])], 1), axis=0).T
 
         def out(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
             a, b = pairs_of(pa.Table.from_batches(rows).combine_chunks().to_batches()[0])

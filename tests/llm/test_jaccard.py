@@ -75,11 +75,12 @@ def test_prefix_never_misses():
         assert 1 <= limit.prefix(n) <= n
 
 
-def test_family_of_variants_in_blocks(documents, words, monkeypatch):
+@pytest.mark.parametrize("blocks", [5, 1024])
+def test_family_of_variants_in_blocks(documents, words, monkeypatch, blocks):
     """Variants of one text, most of them too far from the outermost ones: links are found across blocks."""
     import marquee.llm.jaccard as module
 
-    monkeypatch.setattr(module, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(module, "BLOCK_ROWS", blocks)
     rng = random.Random(11)
     base = [f"b{i}" for i in range(160)]
     rows = []
@@ -97,7 +98,7 @@ def test_family_of_variants_in_blocks(documents, words, monkeypatch):
 def test_signatures_never_lose_a_similar_pair():
     import numpy as np
 
-    from marquee.llm.jaccard import compared, signature
+    from marquee.llm.jaccard import compared, compared_few, signature
 
     rng, limit = np.random.default_rng(4), Threshold(85, 100)
     for size in (5, 150, 3000, 20_000):
@@ -105,7 +106,9 @@ def test_signatures_never_lose_a_similar_pair():
         sets = [np.unique(np.concatenate([base[: size - k], rng.integers(0, 2**63, k).astype(np.uint64)])) for k in (0, size // 50, size // 14, size // 10, size // 3)]
         bits = np.stack([np.frombuffer(signature(x), np.uint8) for x in sets])
         place = np.arange(len(sets))
-        may = set(zip(*map(np.ndarray.tolist, compared(place, np.array([len(x) for x in sets]), place, bits, place, place, limit))))
+        may = set(zip(*map(np.ndarray.tolist, compared(np.array([len(x) for x in sets]), place, bits, place, place, limit))))
+        few = compared_few(np.array([len(x) for x in sets]), place, bits, np.array([0]), len(sets), limit)
+        assert may == set(zip(*np.concatenate(list(few), axis=1).tolist()))
         for a in place:
             for b in place[a + 1 :]:
                 both = len(np.intersect1d(sets[a], sets[b]))
