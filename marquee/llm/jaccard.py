@@ -33,8 +33,9 @@ SIGNATURE_BITS = 2048
 FEW = 64  # classes of a shingle up to which their pairs are listed in memory instead of multiplied as matrices
 PAIRS_AT_ONCE = 1 << 15
 BLOCK_ROWS = 1024  # classes of a shingle that are compared with as many at once
-BUCKET_SHINGLES = 1_000_000  # prefix shingles that a task takes at once
-FLUSH_SHINGLES = 1_500_000
+BUCKET_SHINGLES = 400_000  # prefix shingles that a task takes at once
+FLUSH_SHINGLES = 500_000
+TEXTS_AT_ONCE = 1000
 SMALL_SET = 192  # of smaller sets, all shingles are in the first part
 ORDERS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 
@@ -62,6 +63,14 @@ class Threshold:
         return int(self.first(np.int64(n))) - self.least[n] + 1
 
 
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few texts at a time; Arrow's freed memory goes back, so that a worker does not keep its peak for later tasks."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            yield batch.slice(at, TEXTS_AT_ONCE)
+        pa.default_memory_pool().release_unused()
+
+
 def shingle_sets(words, n: int) -> Iterator[np.ndarray]:
     """The sorted different n-word shingles of each text; fewer words are one shingle, no words none."""
     runs = grams(words.hashes, n)
@@ -103,7 +112,7 @@ def _collect(docs: DataFrame, n: int, limit: Threshold, buckets: int, id_col: st
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), packet.types)], schema=packet)
 
         split = Splitter()
-        for batch in batches:
+        for batch in parts_of(batches):
             for words in split.chunks(batch.column(1)):
                 ids = batch.column(0)[words.first : words.first + len(words.offsets) - 1].to_pylist()
                 for i, found in zip(ids, shingle_sets(words, n)):
@@ -179,7 +188,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int, limit: Threshold, id_col:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Splitter()
         lists = pa.list_(pa.int64())
-        for batch in batches:
+        for batch in parts_of(batches):
             for words in split.chunks(batch.column(1)):
                 sets = list(shingle_sets(words, n))
                 columns = [[x.view(np.int64) for x in sets]]
