@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Callable
 
@@ -52,7 +53,7 @@ def file_system(path: str):
     """The file system of a path or URI, and the path in it, as a worker sees them."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path)
+    return fs.FileSystem.from_uri(re.sub("^file:/+", "/", path))
 
 
 def broadcast_file(spark: SparkSession, path: str):
