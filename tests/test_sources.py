@@ -311,12 +311,16 @@ def test_one_large_partition_value_of_one_file_is_cut(spark, path, tmp_path):
     """All rows have the same value and come from one task, so only the dealt parts can spread them."""
     source = str(tmp_path / "source")
     spark.range(40_000).select(F.col("id").alias("k"), F.lit(None).cast("int").alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("v")).coalesce(1).write.parquet(source)
-    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "400k")
+    # Else AQE joins parts of less than a megabyte.
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "400k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "100k"}
+    before = {name: spark.conf.get(name) for name in settings}
     try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         overwrite_table(evenly(spark.read.parquet(source), "p", rows_per_task=1_000), path, "p")
     finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     sizes = [f.stat().st_size for f in Path(path).rglob("*.parquet")]
     assert len(sizes) >= 4 and max(sizes) < sum(sizes) / 2
 
