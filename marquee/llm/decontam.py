@@ -39,7 +39,7 @@ class Items(NamedTuple):
     @classmethod
     def of(cls, ids: list, texts: list[str], n: int) -> Items:
         words: list[np.ndarray] = []
-        for chunk in Splitter(SEPARATORS + PUNCTUATION).chunks(pa.array(texts, pa.string())):
+        for chunk in Splitter(SEPARATORS + PUNCTUATION, unicode=True).chunks(pa.array(texts, pa.string())):
             words += [chunk.hashes[a:b] for a, b in zip(chunk.offsets, chunk.offsets[1:])]
         some = [np.zeros(0, np.uint64), *words]
         vocabulary = np.unique(np.concatenate(some))
@@ -81,7 +81,7 @@ def _passages(docs: DataFrame, items, n: int, id_col: str, text_col: str) -> Dat
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Items = items.value
-        split, counts, type_of_id = Splitter(SEPARATORS + PUNCTUATION), np.zeros(len(known.vocabulary) + 1, np.int64), None
+        split, counts, type_of_id = Splitter(SEPARATORS + PUNCTUATION, unicode=True), np.zeros(len(known.vocabulary) + 1, np.int64), None
         names = ["doc", "item", "seeds", "start", "words", "word", "n"]
         for batch in batches:
             type_of_id = batch.column(0).type
@@ -144,7 +144,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     """Documents that hold a test item or an edited copy, one row per document id and item.
 
     Returns id_col, item_col, score (of the alignment, as a share of the whole item's), start and end (words of
-    the document) of the best passage. Words are lower-cased and without punctuation; whole texts are read.
+    the document) of the best passage. Words are without case, in any language, and without punctuation; whole texts are read.
     Null texts hold nothing; rows of equal ids count as one document, also of null; items with fewer than
     seed_words words can't be told from ordinary text and are left out; items of equal id and text
     count once. Other columns are left out. The driver sees the items, in portions of ITEM_BYTES, and

@@ -1,7 +1,7 @@
 """Toxicity by a classifier chain (operator 6).
 
 Categories are predicted one after the other by linear models on the words of a text and the
-beginnings of its words. Each later model also
+beginnings of its words, without case in any language. Each later model also
 gets the log-odds of the earlier categories. It is trained on predictions of models that had not seen the
 row (out-of-fold), so that it meets in training what it will meet later.
 """
@@ -42,7 +42,7 @@ def word_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def hashed(column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
-    for words in Splitter(SEPARATORS + PUNCTUATION, PREFIXES).chunks(column):
+    for words in Splitter(SEPARATORS + PUNCTUATION, PREFIXES, unicode=True).chunks(column):
         places = (np.stack([words.hashes, *words.prefixes]) >> np.uint64(64 - BITS)).astype("<u4")
         yield words.first, [np.unique(places[:, a:b]) for a, b in zip(words.offsets, words.offsets[1:])]
 

@@ -1,6 +1,6 @@
 """Words of texts as 64-bit hashes, found on the UTF-8 bytes of a whole Arrow batch at once.
 
-A word is a run of bytes other than space and 0x09-0x0D, with A-Z lower-cased. Its hash is a sum of
+A word is a run of bytes other than space and 0x09-0x0D, with A-Z lower-cased, or all letters if asked for. Its hash is a sum of
 random values of its bytes times random odd values of their positions, mixed; two different words get
 the same hash with a chance of about 2**-63. Work is done in chunks of whole texts of about a megabyte.
 """
@@ -35,6 +35,19 @@ def folding(separators: list[int]) -> np.ndarray:
     return table
 
 
+def case_folded(column: pa.Array) -> pa.Array:
+    """Texts without case in any language, so that capitals meet their small letters (also SS and ß); bytes that are no UTF-8 stay."""
+    texts = column.cast(pa.large_binary()).to_pylist()
+    return pa.array([t if t.isascii() else t.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape") for t in texts], pa.large_binary())
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where the texts begin, and the end; and their bytes."""
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    return offsets, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+
+
 class Words(NamedTuple):
     first: int  # position of the chunk's first text in the batch
     offsets: np.ndarray  # of each text's words, and the end
@@ -47,8 +60,8 @@ class Words(NamedTuple):
 
 
 class Splitter:
-    def __init__(self, separators: list[int] | None = None, prefixes: tuple[int, ...] = ()):
-        self.prefixes, self.chunk_bytes = prefixes, CHUNK_BYTES
+    def __init__(self, separators: list[int] | None = None, prefixes: tuple[int, ...] = (), unicode: bool = False):
+        self.prefixes, self.unicode, self.chunk_bytes = prefixes, unicode, CHUNK_BYTES
         self.fold = folding(SEPARATORS if separators is None else separators)
         self.of_byte = mixed(np.arange(256, dtype=np.uint64) << np.uint64(20))
         self.of_byte[0] = 0
@@ -60,13 +73,15 @@ class Splitter:
 
     def chunks(self, column: pa.Array) -> Iterator[Words]:
         column = column.cast(pa.large_string()).fill_null("")
-        _, offsets, data = column.buffers()
-        offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
-        data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        offsets, data = _bytes_of(column)
         at = 0
         while at < len(column):
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + self.chunk_bytes, "right")) - 1)
-            yield self._split(at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
+            if self.unicode:
+                places, folded = _bytes_of(case_folded(column[at:to]))
+                yield self._split(at, folded[: places[-1]], places)
+            else:
+                yield self._split(at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
             at = to
 
     def _split(self, first: int, data: np.ndarray, texts: np.ndarray) -> Words:

@@ -1,10 +1,11 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marquee.llm.quality import fit_pairs, good_documents, quality_scores
-from marquee.llm.toxicity import Rows, fit_chain, predict_chain, toxicity_scores, train_toxicity
+from marquee.llm.toxicity import Rows, fit_chain, hashed, predict_chain, toxicity_scores, train_toxicity
 
 part = lambda i, n: zlib.crc32(str(i).encode()) % n
 
@@ -66,6 +67,12 @@ def test_later_models_use_earlier_chances():
     assert ((predict_chain(chain, rows)[1] > 0.5) == first).all()
 
 
+def test_toxicity_words_have_no_case_in_any_language():
+    texts = ["éa größe ñandú", "ΟΔΟΣ", "x"]
+    small, large = (dict(hashed(pa.array([change(t) for t in texts]))) for change in (str.lower, str.upper))
+    assert all(np.array_equal(a, b) for a, b in zip(small[0], large[0]))
+
+
 def test_toxicity_odd_rows(spark, documents, odd):
     for rows in ([(3, 1), (4, 0), (3, None), (None, 1)], [], [(3, 1)]):
         labels = spark.createDataFrame(rows, "doc_id long, toxic int")

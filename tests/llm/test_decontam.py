@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.llm.decontam import align, contaminated, without_contaminated
 
@@ -43,6 +44,19 @@ def test_planted_in_a_third_of_the_rows(documents, benchmark):
     assert sorted(r.doc_id for r in left.collect()) == [i for i in range(90) if i % 3]
 
 
+def test_capitals_of_any_language(documents, benchmark):
+    letters = "éèóñçöêüäßíδς"
+    items = [" ".join(f"{letters[(i + k) % 13]}a{letters[k % 13]}{'bcdfghjklm'[k // 3]}" for k in range(30)) for i in range(3)]
+    rows = [(1, items[0].upper()), (2, items[1].title()), (3, items[2])]
+    got = {(r.doc_id, r.item_id): r.score for r in contaminated(documents(rows), benchmark(list(enumerate(items))), score_least=0.9).collect()}
+    assert got == {(1, 0): 1.0, (2, 1): 1.0, (3, 2): 1.0}
+
+
+def test_bytes_that_are_no_text(spark, documents, benchmark):
+    docs = documents([(1, "")]).withColumn("text", F.expr("cast(concat(x'FFC3', cast(' É B C D E ' as binary), x'E9') as string)"))
+    assert [(r.doc_id, r.score) for r in contaminated(docs, benchmark([(1, "é b c d e")])).collect()] == [(1, 1.0)]
+
+
 def test_odd_rows(documents, benchmark, odd):
     item = "the same id once more"
     got = contaminated(documents([*odd, (None, item)]), benchmark([(1, item), (1, item), (2, None), (3, ""), (4, "one"), (None, "x y z w")]))
