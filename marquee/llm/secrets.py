@@ -2,8 +2,8 @@
 
 Candidates are maximal runs of 16 and more characters of base64 and identifiers. Two first-order Markov
 models, of random strings and of ordinary words and identifiers, are compared by their log-likelihood
-ratio. They are counted from labelled samples: what the rules match in a bounded sample of documents is
-random, the other runs of 8 and more characters there are ordinary.
+ratio. They are counted in all documents: what the rules match is random, the other runs of 8 and more
+characters are ordinary.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE_LEAST = 16
 ORDINARY = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 RATIO_LEAST = 8.0  # log-likelihood ratio from which a candidate counts as random
-SAMPLE_DOCS = 20_000
 REPLACEMENT = "[secret]"
 
 _PLACE = {c: i + 1 for i, c in enumerate(ALPHABET)}  # 0 is the beginning
@@ -113,18 +112,37 @@ class CharModels:
         return float(self.ratio[places[:-1], places[1:]].sum())
 
 
-def added(counts: np.ndarray, string: str) -> None:
-    places = [0, *[_PLACE[c] for c in string if c in _PLACE]]
-    np.add.at(counts, (places[:-1], places[1:]), 1)
+_PLACE_OF_BYTE = np.zeros(256, np.int64)  # of other bytes 0
+_PLACE_OF_BYTE[[ord(c) for c in ALPHABET]] = np.arange(1, len(ALPHABET) + 1)
+_OTHER = re.compile(r"[^A-Za-z0-9+/_=\n-]")
 
 
-def train_char_models(docs: DataFrame, *, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> CharModels:
-    """Count the two models in about sample_docs documents, chosen by a hash of their text.
+def added(counts: np.ndarray, strings: list[str]) -> None:
+    """Count the transitions of all strings, without characters outside the alphabet."""
+    if strings:
+        places = _PLACE_OF_BYTE[np.frombuffer(_OTHER.sub("", "\n".join(["", *strings])).encode(), np.uint8)]
+        counts += np.bincount((places[:-1] * len(counts) + places[1:])[places[1:] > 0], minlength=counts.size).reshape(counts.shape)
+
+
+def ordinary_runs(text: str, spans: list[Span]) -> list[str]:
+    """Runs of 8 and more characters that no span, in order of their starts, overlaps."""
+    if not spans:
+        return ORDINARY.findall(text)
+    out, k, reach = [], 0, 0
+    for m in ORDINARY.finditer(text):
+        while k < len(spans) and spans[k].start < m.end():
+            reach, k = max(reach, spans[k].end), k + 1
+        if reach <= m.start():
+            out.append(m[0])
+    return out
+
+
+def train_char_models(docs: DataFrame, *, text_col: str = "text") -> CharModels:
+    """Count the two models in all rows of docs; copies of a text count as often as they occur.
 
     Without any labelled string both models are uniform, and no candidate is random.
     """
     n = len(ALPHABET) + 1
-    share = min(1.0, sample_docs / max(1, docs.count()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, n, n), np.int64)
@@ -133,17 +151,13 @@ def train_char_models(docs: DataFrame, *, text_col: str = "text", sample_docs: i
             runs = long_runs(column)
             for k, text in enumerate(column.to_pylist()):
                 spans = base_spans(text, runs_in(text, runs.get(k, [])))
-                for span in spans:
-                    added(counts[0], text[span.start : span.end] if span.kind else ASSIGN.match(text, span.start)[1])
-                for m in ORDINARY.finditer(text):
-                    if not any(s.start < m.end() and m.start() < s.end for s in spans):
-                        added(counts[1], m[0])
+                added(counts[0], [text[s.start : s.end] if s.kind else ASSIGN.match(text, s.start)[1] for s in spans])
+                added(counts[1], ordinary_runs(text, spans))
         places = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(counts.ravel()[places])], names=["place", "n"])
 
-    chosen = docs.select(text_col).where(F.pmod(F.xxhash64(text_col), F.lit(1_000_000)) < int(share * 1_000_000))
     counts = np.zeros(2 * n * n, np.int64)
-    for place, total in chosen.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n")).collect():
+    for place, total in docs.select(text_col).mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n")).collect():
         counts[place] = total
     return CharModels(counts.reshape(2, n, n))
 

@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 
 from marquee.llm.secrets import REPLACEMENT, secret_spans, train_char_models, without_secrets
@@ -46,6 +47,25 @@ def test_models_add_random_strings_and_leave_words(sample, documents):
     assert [r.n_random for r in secret_spans(documents(rows), train_char_models(documents([]))).collect()] == [0, 0, 0]
 
 
+def test_models_count_every_document(documents):
+    """A text that a third of more than 20,000 rows share weighs a third, neither nothing nor nearly all."""
+    hot = "token=hunter2.hunter2 commonlyshared"
+    texts = [f"password={i:x}x{i * 7919:x}.é akin{i % 26 * 'z'}tootherwords" if i % 3 else hot for i in range(21_000)]
+    models = train_char_models(documents(list(enumerate(texts)), plain=True))
+    places = {c: i + 1 for i, c in enumerate("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")}
+    counts = np.ones((2, 68, 68))
+    for text in texts:
+        spans = [m for m in RULES[0][1].finditer(text) if len(m[2]) >= 6]
+        runs = [m[0] for m in re.finditer("[A-Za-z0-9+/_=-]{8,}", text) if not any(s.start() < m.end() and m.start() < s.end() for s in spans)]
+        for k, strings in enumerate(([m[2] for m in spans], runs)):
+            for string in strings:
+                at = [0, *[places[c] for c in string if c in places]]
+                for pair in zip(at, at[1:]):
+                    counts[(k, *pair)] += 1
+    chances = counts / counts.sum(axis=2, keepdims=True)
+    assert np.allclose(models.ratio, np.log(chances[0]) - np.log(chances[1]), atol=1e-12)
+
+
 def test_replacement_keeps_the_rest(documents, odd):
     rows = [(1, 'a token = "0123456789abcdef0123456789" b'), (2, "none"), (3, None)]
     docs = documents(rows)
