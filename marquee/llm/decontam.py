@@ -1,9 +1,10 @@
 """Benchmark decontamination (operator 4).
 
 Runs of SEED_WORDS words of the test items are seeds. A pass over the whole corpus finds every seed and cuts out the
-passage around it; the same pass counts the items' words. A seed is rare if, by the frequency of its words,
-chance puts it into fewer than one of 10,000 documents. Passages with a rare seed of an item are aligned
-with that item by Smith-Waterman on words, so that edited copies score by what is left of the item.
+passage around it; the same pass counts the items' words. A seed is rare if, by the frequency of its words
+among all words of the corpus, chance puts it into fewer than one of 10,000 documents. Passages with a rare seed of an item,
+or with as many seeds as a run of RUN_LEAST words has, are aligned with that item by Smith-Waterman on words, so that
+edited copies score by what is left of the item. A part counts by its share of the item or by its own length.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from marquee.llm.words import SEPARATORS, Splitter, grams
 SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, 1
 SCORE_LEAST = 0.5  # of the score of the whole item
+RUN_LEAST = 13  # aligned words that are enough, however long the item
 RARE = 1e-4  # chance of a seed in a document
 ITEM_BYTES = 32 << 20  # of items that are sent to the workers at once; more are taken in several passes
 
@@ -75,7 +77,7 @@ def _near(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def _passages(docs: DataFrame, items, n: int, id_col: str, text_col: str) -> DataFrame:
-    """Passages around seeds (doc, item, seeds, start, words), and counts of the items' words (word, n)."""
+    """Passages around seeds (doc, item, seeds, start, words), and counts of words (place in the vocabulary from 1, 0 for all others; n)."""
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc {kind}, item int, seeds array<int>, start long, words binary, word int, n long"
 
@@ -117,10 +119,10 @@ def _passages(docs: DataFrame, items, n: int, id_col: str, text_col: str) -> Dat
                         names=names,
                     )
         if type_of_id is not None:
-            met = np.flatnonzero(counts[1:])
+            met = np.flatnonzero(counts)
             nothing = pa.nulls(len(met))
             yield pa.RecordBatch.from_arrays(
-                [nothing.cast(type_of_id), nothing.cast(pa.int32()), nothing.cast(pa.list_(pa.int32())), nothing.cast(pa.int64()), nothing.cast(pa.binary()), pa.array(met, pa.int32()), pa.array(counts[1:][met])],
+                [nothing.cast(type_of_id), nothing.cast(pa.int32()), nothing.cast(pa.list_(pa.int32())), nothing.cast(pa.int64()), nothing.cast(pa.binary()), pa.array(met, pa.int32()), pa.array(counts[met])],
                 names=names,
             )
 
@@ -130,8 +132,8 @@ def _passages(docs: DataFrame, items, n: int, id_col: str, text_col: str) -> Dat
 def rare_seeds(items: Items, counts: np.ndarray, documents: int) -> np.ndarray:
     """Whether chance puts a seed into few documents; all seeds of an item that has no such seed count as well."""
     total = max(1, int(counts.sum()))
-    # Each document is as many trials as it has words of the items; the others can't take part.
-    chance = np.exp(np.log(np.maximum(counts, 1) / total)[items.seed_words].sum(axis=1)) * total / max(1, documents) if len(items.seeds) else np.zeros(0)
+    # Each document is as many trials as it has words.
+    chance = np.exp(np.log(np.maximum(counts[1:], 1) / total)[items.seed_words].sum(axis=1)) * total / max(1, documents) if len(items.seeds) else np.zeros(0)
     rare = chance <= RARE
     seed = np.repeat(np.arange(len(items.seeds)), np.diff(items.item_from))
     having = np.zeros(len(items.words), bool)
@@ -140,11 +142,11 @@ def rare_seeds(items: Items, counts: np.ndarray, documents: int) -> np.ndarray:
     return rare
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed_words: int = SEED_WORDS, score_least: float = SCORE_LEAST) -> DataFrame:
-    """Documents that hold a test item or an edited copy, one row per document id and item.
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed_words: int = SEED_WORDS, score_least: float = SCORE_LEAST, run_least: int = RUN_LEAST) -> DataFrame:
+    """Documents that hold a test item, an edited copy or a long part of one, one row per document id and item.
 
     Returns id_col, item_col, score (of the alignment, as a share of the whole item's), start and end (words of
-    the document) of the best passage. Words are without case, in any language, and without punctuation; whole texts are read.
+    the document) of the best passage. Enough is score_least, or a score worth run_least aligned words. Words are without case, in any language, and without punctuation; whole texts are read.
     Null texts hold nothing; rows of equal ids count as one document, also of null; items with fewer than
     seed_words words can't be told from ordinary text and are left out; items of equal id and text
     count once. Other columns are left out. The driver sees the items, in portions of ITEM_BYTES, and
@@ -160,16 +162,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
         items = Items.of(own.column("item").to_pylist(), own.column("body").to_pylist(), seed_words)
         sent = spark.sparkContext.broadcast(items)
         passages = staged(_passages(docs, sent, seed_words, id_col, text_col), "passages")
-        counts = np.zeros(len(items.vocabulary), np.int64)
+        counts = np.zeros(len(items.vocabulary) + 1, np.int64)
         for word, n in passages.where("word is not null").groupBy("word").agg(F.sum("n")).collect():
             counts[word] = n
-        aligned = _aligned(passages, sent, rare_seeds(items, counts, documents), score_least, own.schema.field("item").type, benchmark.schema[item_col].dataType.simpleString())
+        aligned = _aligned(passages, sent, rare_seeds(items, counts, documents), seed_words, score_least, run_least, own.schema.field("item").type, benchmark.schema[item_col].dataType.simpleString())
         found = aligned if found is None else found.unionByName(aligned)
     best = found.groupBy("doc", "item").agg(F.max(F.struct("score", F.negative("start").alias("start"), "end")).alias("best"))
     return best.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "best.score", F.negative("best.start").alias("start"), "best.end")
 
 
-def _aligned(passages: DataFrame, items, rare: np.ndarray, score_least: float, item_type: pa.DataType, item_kind: str) -> DataFrame:
+def _aligned(passages: DataFrame, items, rare: np.ndarray, n: int, score_least: float, run_least: int, item_type: pa.DataType, item_kind: str) -> DataFrame:
     kind = passages.schema["doc"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,12 +180,12 @@ def _aligned(passages: DataFrame, items, rare: np.ndarray, score_least: float, i
             rows = []
             columns = [batch.column(i).to_pylist() for i in (1, 2, 3, 4)]
             for k, (item, seeds, start, passage) in enumerate(zip(*columns)):
-                if not rare[seeds].any():
+                if not rare[seeds].any() and len(seeds) <= run_least - n:
                     continue
                 own, passage = known.words[item], np.frombuffer(passage, np.uint64)
                 best, end = align(own, passage)
                 share = best / (MATCH * len(own))
-                if share >= score_least:
+                if share >= score_least or best >= MATCH * run_least:
                     length = align(own[::-1], passage[:end][::-1])[1]
                     rows.append((k, known.ids[item], share, start + end - length, start + end))
             if rows:

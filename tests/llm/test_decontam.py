@@ -44,6 +44,17 @@ def test_planted_in_a_third_of_the_rows(documents, benchmark):
     assert sorted(r.doc_id for r in left.collect()) == [i for i in range(90) if i % 3]
 
 
+def test_a_long_part_of_a_longer_item(documents, benchmark):
+    item, other, clean = *texts(6, 2, 250), texts(7, 1, 300)[0]
+    common = " ".join(f"w{k}" for k in "0001002003011")  # every seed of these words is frequent
+    part = item.split()[90:190]
+    rows = [(1, f"{clean} {' '.join(part)} {clean}"), (2, f"{clean} {' '.join(part[:10])}"), (3, f"{clean} {common}")]
+    rows += [(k, " ".join(random.Random(k).choices(["w0", "w1", "w2", "w3"], k=400))) for k in range(11, 14)]
+    got = {r.doc_id: r for r in contaminated(documents(rows), benchmark([(1, item), (2, f"{other} {common}")])).where("doc_id < 10").collect()}
+    assert set(got) == {1, 3}
+    assert (got[1].item_id, got[1].score, got[1].start, got[1].end) == (1, 0.4, 300, 400)
+
+
 def test_capitals_of_any_language(documents, benchmark):
     letters = "éèóñçöêüäßíδς"
     items = [" ".join(f"{letters[(i + k) % 13]}a{letters[k % 13]}{'bcdfghjklm'[k // 3]}" for k in range(30)) for i in range(3)]
