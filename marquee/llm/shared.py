@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,6 +36,18 @@ def with_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFram
     return docs.join(found, docs[id_col].eqNullSafe(F.col("__id")), how)
 
 
+TEXTS_AT_ONCE = 1000
+
+
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few texts at a time; Arrow's freed memory goes back, so that a worker does not keep its peak for later tasks."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            yield batch.slice(at, TEXTS_AT_ONCE)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def worker_state(key: str, make: Callable[[], object]) -> object:
     """Something that a Python worker builds once and keeps for its later tasks."""
     kept = sys.__dict__.setdefault("_marquee_llm_state", {})
