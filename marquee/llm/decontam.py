@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.shared import staged, with_ids
+from marquee.llm.shared import KEY, parts_of, row_key, staged, with_ids
 from marquee.llm.toxicity import PUNCTUATION
 from marquee.llm.words import SEPARATORS, Splitter, grams
 
@@ -82,10 +82,10 @@ def _passages(docs: DataFrame, items, n: int, id_col: str, text_col: str) -> Dat
     schema = f"doc {kind}, item int, seeds array<int>, start long, words binary, word int, n long"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: Items = items.value
+        known = Items(*items.value)
         split, counts, type_of_id = Splitter(SEPARATORS + PUNCTUATION, unicode=True), np.zeros(len(known.vocabulary) + 1, np.int64), None
         names = ["doc", "item", "seeds", "start", "words", "word", "n"]
-        for batch in batches:
+        for batch in parts_of(batches):
             type_of_id = batch.column(0).type
             for words in split.chunks(batch.column(1)):
                 counts += np.bincount(_near(known.vocabulary, words.hashes) + 1, minlength=len(counts))
@@ -160,7 +160,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     for portion in range(portions):
         own = tests.where(F.pmod(F.xxhash64("item", "body"), F.lit(portions)) == portion).toArrow()
         items = Items.of(own.column("item").to_pylist(), own.column("body").to_pylist(), seed_words)
-        sent = spark.sparkContext.broadcast(items)
+        sent = spark.sparkContext.broadcast(tuple(items))  # plain: executors have no class of this package
         passages = staged(_passages(docs, sent, seed_words, id_col, text_col), "passages")
         counts = np.zeros(len(items.vocabulary) + 1, np.int64)
         for word, n in passages.where("word is not null").groupBy("word").agg(F.sum("n")).collect():
@@ -175,7 +175,7 @@ def _aligned(passages: DataFrame, items, rare: np.ndarray, n: int, score_least:
     kind = passages.schema["doc"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: Items = items.value
+        known = Items(*items.value)
         for batch in batches:
             rows = []
             columns = [batch.column(i).to_pylist() for i in (1, 2, 3, 4)]
@@ -199,7 +199,11 @@ def _aligned(passages: DataFrame, items, rare: np.ndarray, n: int, score_least:
     return hits.mapInArrow(score, f"doc {kind}, item {item_kind}, score double, start long, end long")
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs whose id has no row in `contaminated`."""
-    found = staged(contaminated(docs, benchmark, id_col=id_col, **options).select(id_col), "contaminated")
-    return with_ids(docs, found, id_col, "left_anti")
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs without those whose text has a row in `contaminated`.
+
+    Each row goes or stays by its own text, so a null or repeated id takes no other row along.
+    """
+    keyed = docs.withColumn(KEY, row_key(id_col, text_col))
+    found = staged(contaminated(keyed, benchmark, id_col=KEY, text_col=text_col, **options).select(KEY), "contaminated")
+    return with_ids(keyed, found, KEY, "left_anti").drop(KEY)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.ngramlm import _columns, _packets
-from marquee.llm.shared import staged, with_ids
+from marquee.llm.shared import KEY, parts_of, row_key, staged, with_ids
 from marquee.llm.words import Splitter, grams, mixed
 
 SIGNATURE_BITS = 2048
@@ -35,7 +35,6 @@ PAIRS_AT_ONCE = 1 << 15
 BLOCK_ROWS = 1024  # classes of a shingle that are compared with as many at once
 BUCKET_SHINGLES = 400_000  # prefix shingles that a task takes at once
 FLUSH_SHINGLES = 500_000
-TEXTS_AT_ONCE = 1000
 SMALL_SET = 192  # of smaller sets, all shingles are in the first part
 ORDERS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 
@@ -63,14 +62,6 @@ class Threshold:
         return int(self.first(np.int64(n))) - self.least[n] + 1
 
 
-def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Few texts at a time; Arrow's freed memory goes back, so that a worker does not keep its peak for later tasks."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-            yield batch.slice(at, TEXTS_AT_ONCE)
-        pa.default_memory_pool().release_unused()
-
-
 def shingle_sets(words, n: int) -> Iterator[np.ndarray]:
     """The sorted different n-word shingles of each text; fewer words are one shingle, no words none."""
     runs = grams(words.hashes, n)
@@ -93,7 +84,8 @@ def _collect(docs: DataFrame, n: int, limit: Threshold, buckets: int, id_col: st
 
         def flushed() -> Iterator[pa.RecordBatch]:
             ids, classes, sizes, firsts, prefixes = (np.array(x, t) for x, t in zip(zip(*docs_met), ("i8", "u8", "i8", "i8", "i8")))
-            rows = list(_packets((classes % np.uint64(buckets)).astype(np.int64), ids, classes, sizes, firsts, prefixes))
+            # Only passed on, so dealt evenly, however many rows one class has.
+            rows = list(_packets(np.arange(len(ids)) * buckets // len(ids), ids, classes, sizes, firsts, prefixes))
             out = [(bucket, "doc", k, data) for bucket, data, k in rows]
             tokens = np.concatenate([*first.values(), np.zeros(0, np.uint64)])
             owners = np.repeat(np.array(list(first), np.uint64), [len(x) for x in first.values()])
@@ -341,11 +333,31 @@ def jaccard_components(docs: DataFrame, *, words: int = 4, num: int = 85, den: i
     links = staged(links.union(_linked(more, sets, limit)), "all-links")
     found = components(links)
     by_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component"))
-    result = every.join(by_class, "class", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
-    return result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    rows = staged(every.join(by_class, "class", "left").select("id", "n", F.coalesce("component", "id").alias("component")), "components")
+    # Rows of an id that is repeated with other texts join the components of these texts.
+    several = rows.groupBy("id").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    bridges = staged(rows.join(several, "id").select(F.col("component").alias("a"), F.col("low").alias("b")).distinct(), "bridges")
+    if not bridges.isEmpty():
+        joined = components(bridges).select(F.col("node").alias("component"), F.col("component").alias("least"))
+        rows = rows.join(joined, "component", "left").select("id", "n", F.coalesce("least", "component").alias("component"))
+    return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs, of each component the one of the smallest id alone. Rows without an id stay."""
-    found = jaccard_components(docs, id_col=id_col, **options).where(F.col("component_id") != F.col(id_col))
-    return with_ids(docs, staged(found.select(id_col), "copies"), id_col, "left_anti")
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs, of each component the one of the smallest id alone (null is the greatest).
+
+    Rows are told apart by id and text, so each row of a null or repeated id is judged by its own text. Rows equal in both
+    are copies, of which one stays. Texts without words have no copies, and all stay.
+    """
+    keyed = docs.withColumn(KEY, row_key(id_col, text_col))
+    found = jaccard_components(keyed.select(KEY, text_col), id_col=KEY, text_col=text_col, **options).where("n_shingles > 0")
+    times = staged(found.groupBy(KEY).agg(F.first("component_id").alias("component"), F.count("*").alias("times")), "keys")
+    named = keyed.select(F.col(id_col).alias("id"), KEY).distinct().join(times, KEY)
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", KEY)).alias("first"))
+    copies = staged(times.join(first, "component").where(F.col(KEY) != F.col(f"first.{KEY}")).select(KEY), "copies")
+    kept = with_ids(keyed, copies, KEY, "left_anti")
+    again = staged(times.where("times > 1").join(copies, KEY, "left_anti").select(KEY), "repeated-rows")
+    if again.isEmpty():
+        return kept.drop(KEY)
+    once = with_ids(kept, again, KEY, "left_semi").dropDuplicates([KEY])
+    return with_ids(kept, again, KEY, "left_anti").unionByName(once).drop(KEY)

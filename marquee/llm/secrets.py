@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.shared import filled
+from marquee.llm.shared import TEXTS_AT_ONCE, filled, parts_of
 
 # The rules, the order of kinds, the characters of candidates.
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -146,7 +146,7 @@ def train_char_models(docs: DataFrame, *, text_col: str = "text") -> CharModels:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, n, n), np.int64)
-        for batch in batches:
+        for batch in parts_of(batches):
             column = filled(batch.column(0))
             runs = long_runs(column)
             for k, text in enumerate(column.to_pylist()):
@@ -182,7 +182,7 @@ def secret_spans(docs: DataFrame, models: CharModels, *, id_col: str = "doc_id",
     kind = docs.schema[id_col].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             column = filled(batch.column(1))
             runs = long_runs(column)
             numbers, base_hash, spans = [], [], []
@@ -206,8 +206,6 @@ def without_secrets(docs: DataFrame, models: CharModels, *, text_col: str = "tex
 
     Overlapping spans are replaced as one.
     """
-    at = docs.columns.index(text_col)
-
     def clean(text: str, runs: list[tuple[int, int]]) -> str:
         out, done = [], 0
         for span in all_spans(text, runs_in(text, runs), models, ratio_least)[1]:
@@ -216,13 +214,15 @@ def without_secrets(docs: DataFrame, models: CharModels, *, text_col: str = "tex
             done = max(done, span.end)
         return "".join(out) + text[done:]
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(at)
-            runs = long_runs(filled(column))
-            texts = [text and clean(text, runs.get(k, [])) for k, text in enumerate(column.to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:at], pa.array(texts, column.type), *batch.columns[at + 1 :]], schema=batch.schema
-            )
-
-    return docs.mapInArrow(scan, docs.schema)
+    def replace(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            out = []
+            for at in range(0, len(column), TEXTS_AT_ONCE):
+                some = column[at : at + TEXTS_AT_ONCE]
+                runs = long_runs(filled(some))
+                out.append(pa.array([text and clean(text, runs.get(k, [])) for k, text in enumerate(some.to_pylist())], pa.string()))
+            yield pa.concat_arrays([pa.array([], pa.string()), *out])
+            pa.default_memory_pool().release_unused()
+
+    replace.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return docs.withColumn(text_col, F.arrow_udf(replace, "string")(text_col))

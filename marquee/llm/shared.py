@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.sources.paths import scratch_path
@@ -22,6 +22,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+KEY = "__row_key"  # a column that tells rows apart which differ in id or text
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).isNull(), id_col, F.col(text_col).isNull(), text_col)
+
+
 BROADCAST_ROWS = 1_000_000  # ids that may be sent to all executors, some 10 MB
 
 
@@ -48,6 +55,24 @@ def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.default_memory_pool().release_unused()
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, columns: list[str], rows: int, id_col: str, text_col: str) -> DataFrame:
+    """key, body and the columns of labels, a row for each of `rows` labelled ids at most, chosen by a hash of the id.
+
+    Label rows with a null are left out. Of several label rows of an id the greatest counts, of several documents the
+    one of the least hash, so that repeated ids bring no more rows. The chosen labels, at most `rows`, are broadcast.
+    """
+    usable = labels.select(F.col(id_col).alias("key"), *columns).dropna().groupBy("key").agg(F.max(F.struct(*columns)).alias("label"))
+    usable = staged(usable.select("key", "label.*"), "labels")
+    place = F.xxhash64("key").cast("double")
+    # The hashes are even, so that somewhat more than enough lie in this share of them; the limit is exact.
+    share = 2.0 * (rows + 1000) / max(1, usable.count())
+    chosen = usable.where(place < F.lit(-(2.0**63) + share * 2.0**63 * 2)) if share < 1 else usable
+    chosen = chosen.withColumn("place", F.xxhash64("key")).orderBy("place", "key").limit(rows).drop("place")
+    texts = docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("body")).join(F.broadcast(chosen), "key")
+    one = texts.groupBy("key", *columns).agg(F.min(F.struct(F.xxhash64("body").alias("place"), "body")).alias("text"))
+    return one.select("key", "text.body", *columns)
+
+
 def worker_state(key: str, make: Callable[[], object]) -> object:
     """Something that a Python worker builds once and keeps for its later tasks."""
     kept = sys.__dict__.setdefault("_marquee_llm_state", {})

@@ -138,8 +138,10 @@ def train_dictionary(docs: DataFrame, tokenizer, key: str, text_col: str) -> byt
             ids = [p for p in coder.packed(utf8(batch.column(0))) if p]
             yield pa.RecordBatch.from_arrays([pa.array([p for p in ids if len(p) <= SAMPLE_BYTES], pa.binary())], names=["ids"])
 
-    chosen = docs.select(text_col).where(F.pmod(F.xxhash64(text_col), F.lit(1_000_000)) < int(share * 1_000_000))
-    samples = sorted({bytes(row.ids) for row in chosen.mapInArrow(encode, "ids binary").distinct().limit(2 * SAMPLE_DOCS).collect()})
+    # The hashes are even, so a share of their range is as large a share of the texts, at every size.
+    chosen = docs.select(text_col).where(F.xxhash64(text_col).cast("double") < F.lit(-(2.0**63) + share * 2.0**64)) if share < 1 else docs.select(text_col)
+    different = chosen.mapInArrow(encode, "ids binary").distinct().orderBy(F.xxhash64("ids"), "ids").limit(2 * SAMPLE_DOCS)
+    samples = sorted({bytes(row.ids) for row in different.collect()})
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 8), samples, level=LEVEL).as_bytes()
     except (zstandard.ZstdError, ValueError):

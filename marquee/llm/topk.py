@@ -24,11 +24,12 @@ from marquee.llm.shared import staged
 SHARD_ROWS = 8192
 LEAF_ROWS = 64
 BLOCK_ROWS = 1024
+LARGEST = float(2**62)
 EXACT = 1 << 53  # sums of products below are exact in doubles
 
 
 def scaled(column: pa.Array, scale: float) -> list[np.ndarray | None]:
-    """Each vector as integers floor(scale * x), x as double; None if it or a component is null or not finite."""
+    """Each vector as integers floor(scale * x), x as double; None if it or a component is null, not finite or beyond LARGEST."""
     out: list[np.ndarray | None] = []
     for vector in column:
         values = vector.values
@@ -39,8 +40,9 @@ def scaled(column: pa.Array, scale: float) -> list[np.ndarray | None]:
         if not np.isfinite(values).all():
             out.append(None)
             continue
-        if len(values) and np.abs(values).max() >= 2**62:
-            raise OverflowError("a component is beyond 64-bit integers")
+        if len(values) and np.abs(values).max() >= LARGEST:
+            out.append(None)
+            continue
         out.append(values.astype(np.int64))
     return out
 
@@ -138,8 +140,8 @@ def search(tree: Tree, own: np.ndarray, queries: np.ndarray, best: list[Best]) -
                 keep &= scores >= found.scores[-1]
             if keep.any():
                 scores = scores[keep]
-                if kind is object and any(abs(int(s)) >= 2**63 for s in scores):
-                    raise OverflowError("a score is beyond 64-bit integers")
+                if kind is object:  # a score beyond 64 bits counts as the last that they hold
+                    scores = np.array([min(max(int(s), 1 - 2**63), 2**63 - 1) for s in scores], np.int64)
                 found.offer(scores.astype(np.int64), ids[keep])
     return read
 
@@ -184,16 +186,18 @@ def top_k(candidates: DataFrame, queries: DataFrame, *, k: int = 20, scale: floa
     """The k candidates of highest inner product for each query: query_id, rank (from 1), vec_id, score.
 
     Components count as floor(scale * x). A candidate with the query's own id is left out. Rows with a null id, a null
-    vector, or a null or non-finite component take no part; vectors of another length than the query's
-    are no candidates. Candidate rows of the same id count once, with the best score; of query rows of the
-    same id the greatest vector counts. Ties go to the smaller id. A score beyond 64 bits is an error.
+    vector, or a component that is null, not finite or beyond 2**62 take no part; vectors of another length than the query's
+    are no candidates. Candidate rows of the same id count once, with the best score; of usable query rows of the
+    same id the longest vector counts, then the greatest. Ties go to the smaller id. A score beyond 64 bits counts as the last number of 64 bits.
 
     A task holds a block of queries and one shard at a time. The shards are repeated for every block; the
     driver sees the blocks' numbers only.
     """
     spark = candidates.sparkSession
     pairs = lambda df: df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
-    asked = pairs(queries).where("id is not null and vector is not null").groupBy("id").agg(F.max("vector").alias("vector"))
+    usable = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < LARGEST))
+    asked = pairs(queries).where("id is not null and vector is not null").where(usable)
+    asked = asked.groupBy("id").agg(F.max(F.struct(F.size("vector"), "vector")).alias("most")).select("id", "most.vector")
     shards = staged(_shards(pairs(candidates), shard_rows, scale, True), "shards")
     blocks = staged(_shards(asked, block_rows, scale, False), "query-blocks")
     places: dict[int, list[int]] = {}

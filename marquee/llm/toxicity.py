@@ -16,9 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.shared import labelled_texts, parts_of
 from marquee.llm.words import SEPARATORS, Splitter
 
-LABELLED_ROWS = 8_000  # about the most labelled rows that a chain is fitted on
+LABELLED_ROWS = 8_000  # the most labelled rows that a chain is fitted on
 BITS = 20
 PREFIXES = (4, 5, 6, 7, 8)  # bytes of the beginnings of words
 FOLDS = 3
@@ -168,14 +169,12 @@ def predict_chain(chain: list[Linear], rows: Rows) -> list[np.ndarray]:
 def train_toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], *, id_col: str = "doc_id", text_col: str = "text", rows: int = LABELLED_ROWS) -> list[Linear]:
     """Fit a chain for the 0/1 columns `categories` of labels, in that order.
 
-    Uses about `rows` labelled documents at most, chosen by a hash of their id; label rows with a null are left
-    out. Folds go by another hash of the id, so that copies of a row share theirs.
+    Uses `rows` labelled documents at most, chosen by a hash of their id; label rows with a null are left
+    out. Folds go by another hash of the id.
     """
-    labelled = labels.select(F.col(id_col).alias("key"), *[F.col(c).cast("int").alias(f"label{i}") for i, c in enumerate(categories)]).dropna()
-    share = min(1.0, rows / max(1, labelled.count()))
-    labelled = labelled.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(share * 1_000_000))
-    texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("body")).join(labelled, "key")
     names = [f"label{i}" for i in range(len(categories))]
+    numbered = labels.select(id_col, *[F.col(c).cast("int").alias(n) for c, n in zip(categories, names)])
+    texts = labelled_texts(docs, numbered, names, rows, id_col, text_col)
     found = texts.select(F.struct(F.pmod(F.hash("key"), F.lit(FOLDS)).alias("fold"), *names).alias("known"), "body")
     sample = word_features(found, "known", "body").toArrow()
     known = sample.column("known").combine_chunks()
@@ -191,12 +190,14 @@ def toxicity_scores(docs: DataFrame, chain: list[Linear], categories: list[str],
     fixed size, are broadcast.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    models = docs.sparkSession.sparkContext.broadcast(chain)
+    # Plain tuples: a class of this package would be looked up where the executors have none.
+    models = docs.sparkSession.sparkContext.broadcast([tuple(model) for model in chain])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        known = [Linear(*model) for model in models.value]
+        for batch in parts_of(batches):
             for first, rows in hashed(batch.column(1)):
-                chances = predict_chain(models.value, Rows.of(rows))
+                chances = predict_chain(known, Rows.of(rows))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[first : first + len(rows)], *map(pa.array, chances)], names=[id_col, *[f"p_{c}" for c in categories]]
                 )

@@ -48,9 +48,19 @@ def test_against_brute_force(documents, words, n, num):
     assert got == brute(rows, words, n, num, 100)
 
 
-def test_odd_rows(documents, odd):
-    got = sorted((r.doc_id, r.n_shingles) for r in jaccard_components(documents(odd)).collect())
-    assert got == [(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 1), (6, 2), (6, 2), (7, 2)] or len(got) == 9
+def test_odd_rows(documents, odd, words):
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(documents(odd)).collect())
+    # The first text of 6 has seven words (the NUL, 0x1c, 0x85 and the wide space part none), the others five.
+    assert got == [(0, 0, 0), (1, 0, 1), (2, 0, 2), (3, 1, 3), (4, 1, 4), (5, 1, 5), (6, len(odd_words) - 3, 6), (6, 2, 6), (7, 2, 6)] if (odd_words := words(odd[6][1])) else False
+
+
+def test_a_repeated_id_joins_the_components_of_its_texts(documents):
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(3, a), (5, a), (5, b), (7, b), (8, ""), (8, None), (9, "alone here")]
+    got = sorted((r.doc_id, r.component_id) for r in jaccard_components(documents(rows)).collect())
+    assert got == [(3, 3), (5, 3), (5, 3), (7, 3), (8, 8), (8, 8), (9, 9)]
+    chained = [(3, a), (5, a), (5, b), (7, b), (7, "c " + a.upper().replace("A", "z")), (9, "c " + a.upper().replace("A", "z"))]
+    assert {r.component_id for r in jaccard_components(documents(chained)).collect()} == {3}
 
 
 def test_empty(documents):
@@ -60,7 +70,22 @@ def test_empty(documents):
 def test_one_of_each(documents):
     text = " ".join(f"w{i}" for i in range(50))
     kept = one_of_each(documents([(3, text), (1, text), (2, text + " x"), (4, "other words are here now"), (None, text), (5, None)]), words=5, num=80)
-    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == [-1, 1, 4, 5]
+    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == [1, 4, 5]
+
+
+def test_one_of_each_judges_rows_of_null_and_repeated_ids_one_by_one(documents):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(None, "first without an id at all"), (None, "first without an id at all"), (None, "second one of those rows here"), (7, text), (7, "other words of the same id"), (9, text), (9, text), (None, None), (None, None), (8, "")]
+    kept = sorted(((r.doc_id, r.text) for r in one_of_each(documents(rows), words=5, num=80).collect()), key=repr)
+    assert kept == sorted([rows[0], rows[2], rows[3], rows[4], (None, None), (None, None), (8, "")], key=repr)
+
+
+def test_a_third_of_all_rows_are_one_text(documents, words):
+    hot = " ".join(f"h{i}" for i in range(20))
+    rows = [(i, hot if i % 3 == 0 else f"own{i} words{i} of{i} text{i} number{i}") for i in range(3000)]
+    got = {r.doc_id: r.component_id for r in jaccard_components(documents(rows, plain=True)).collect()}
+    assert got == {i: 0 if i % 3 == 0 else i for i in range(3000)}
+    assert one_of_each(documents(rows)).count() == 2001
 
 
 def test_components_of_a_chain(spark):

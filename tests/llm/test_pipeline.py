@@ -45,4 +45,4 @@ def test_stages_take_effect(spark):
 def test_all_operators_are_registered():
     from marquee.llm.queries import QUERIES
 
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))

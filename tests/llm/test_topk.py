@@ -39,6 +39,18 @@ def test_repeated_ids_count_once(spark):
     assert got == [(1, 1, 64 * 128), (2, 2, 64 * 96)]
 
 
+def test_unusable_rows_of_a_usable_id_hide_nothing(spark):
+    nan = float("nan")
+    for bad in ([nan, 1.0], [None, 9.0], [1e30, 0.0], None, [3.0]):
+        df = frame(spark, [(20, [1.0, 2.0], None, None), (20, bad, None, None), (1, [1.0, 1.0], None, None)])
+        assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(df, df.where("vec_id = 20")).collect()] == [(20, 1, 1, 64 * 64 * 3)]
+
+
+def test_scores_beyond_64_bits_end_nothing(spark):
+    df = frame(spark, [(0, [2.0**50], None, None), (1, [2.0**50], None, None), (2, [-(2.0**50)], None, None)])
+    assert [(r.vec_id, r.score) for r in top_k(df, df.where("vec_id = 0")).orderBy("rank").collect()] == [(1, 2**63 - 1), (2, 1 - 2**63)]
+
+
 def test_empty(spark):
     df = frame(spark, [])
     assert top_k(df, df).collect() == []
