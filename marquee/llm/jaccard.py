@@ -9,8 +9,8 @@ shingles. Candidates must do so under three orders:
 2., 3. Two orders by hash, whose prefixes must meet as well before two sets are compared.
 
 Documents of equal sets are one class. Within a shingle's classes, first the two outermost are compared with all
-others, which leaves many shingles with classes of one component. Where several components meet, all pairs
-between different ones are compared in blocks by bit signatures, whose distance is at most the number
+others, which leaves many shingles with classes of one component. Where several components meet, each class is joined
+with its nearest of another one, and then all pairs between different components are compared in blocks by bit signatures, whose distance is at most the number
 of shingles that two sets don't share, and only pairs that this leaves become rows. So every link
 between components is found, without listing the pairs within a group of copies. Components come from
 alternating minimum stars over the links.
@@ -35,6 +35,7 @@ PAIRS_AT_ONCE = 1 << 15
 BLOCK_ROWS = 1024  # classes of a shingle that are compared with as many at once
 BUCKET_SHINGLES = 400_000  # prefix shingles that a task takes at once
 FLUSH_SHINGLES = 500_000
+NEAREST_ROUNDS = 2
 SMALL_SET = 192  # of smaller sets, all shingles are in the first part
 ORDERS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 
@@ -229,9 +230,20 @@ def compared_few(n: np.ndarray, component: np.ndarray, bits: np.ndarray, starts:
         yield left[keep], right[keep]
 
 
-def _across(postings: DataFrame, limit: Threshold) -> DataFrame:
+def nearest_alone(x: np.ndarray, y: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of places, for each place on either side the pair with the nearest signature."""
+    words, keep = bits.view(np.uint64), np.zeros(len(x), bool)
+    apart = np.concatenate([np.zeros(0, np.int64)] + [np.bitwise_count(words[x[at : at + PAIRS_AT_ONCE]] ^ words[y[at : at + PAIRS_AT_ONCE]]).sum(1, dtype=np.int64) for at in range(0, len(x), PAIRS_AT_ONCE)])
+    for side in (x, y):
+        order = np.lexsort((apart, side))
+        keep[order[np.diff(side[order], prepend=-1) != 0]] = True
+    return x[keep], y[keep]
+
+
+def _across(postings: DataFrame, limit: Threshold, nearest: bool = False) -> DataFrame:
     """Pairs (a, b) that share a shingle across components and may be similar, from rows of
     shingle, members, rep, n, component, bits; a shingle's classes meet in pairs of blocks of about BLOCK_ROWS.
+    With nearest, each class brings one pair per shingle and block.
     """
     blocks = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
@@ -259,6 +271,8 @@ def _across(postings: DataFrame, limit: Threshold) -> DataFrame:
                 if len(left) and len(right):
                     found.append(compared(n, component, bits, left, right, limit))
             x, y = np.concatenate(found, axis=1)
+            if nearest:
+                x, y = nearest_alone(x, y, bits)
             return np.unique(np.stack([np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])], 1), axis=0).T
 
         def out(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -326,12 +340,14 @@ def jaccard_components(docs: DataFrame, *, words: int = 4, num: int = 85, den: i
     sets = staged(sets.join(classes.select("rep", "n"), "rep").where(F.size("grams") == F.col("n")).drop("n"), "sets")
     links = staged(_linked(pairs, sets, limit), "star-links")
     found = components(links)
-    # Where a shingle's classes are of several components, compare across them.
-    labelled = postings.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    open_ = labelled.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members")).where("x <> y").select("shingle", "members")
-    more = staged(_across(labelled.join(open_, "shingle").join(sets.select("rep", "bits"), "rep"), limit), "pairs-across")
-    links = staged(links.union(_linked(more, sets, limit)), "all-links")
-    found = components(links)
+    # Where a shingle's classes are of several components, compare across them: first each with its nearest, which makes
+    # one component of most families of near copies, then all pairs that are still across.
+    for nearest in (*[True] * NEAREST_ROUNDS, False):
+        labelled = postings.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        open_ = labelled.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members")).where("x <> y").select("shingle", "members")
+        more = staged(_across(labelled.join(open_, "shingle").join(sets.select("rep", "bits"), "rep"), limit, nearest), "pairs-across")
+        links = staged(links.union(_linked(more, sets, limit)), "all-links")
+        found = components(links)
     by_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component"))
     rows = staged(every.join(by_class, "class", "left").select("id", "n", F.coalesce("component", "id").alias("component")), "components")
     # Rows of an id that is repeated with other texts join the components of these texts.
