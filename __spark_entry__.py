@@ -46,6 +46,7 @@ from marquee.sources.files import read_source, scan_table, scan_tsv  # noqa: E40
 from marquee.sources.paths import scratch_path  # noqa: E402
 from marquee.sources.tables import (  # noqa: E402
     append_table,
+    compact_table,
     evenly,
     overwrite_table,
     replace_partition,
@@ -65,9 +66,7 @@ from marquee.specs import (  # noqa: E402
 try:  # these operators and the pipeline may be left out of an installation
     import corpus_pipeline  # noqa: E402
     from marquee.llm import queries as llm  # noqa: E402
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "marquee.llm", "marquee.llm.queries"):
-        raise
+except ImportError:  # also if a library is missing that only they use
     llm = corpus_pipeline = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -181,6 +180,26 @@ def _run_log_append(spark: SparkSession, sf: str) -> DataFrame:
 # Landing.
 
 
+def _upsert_table_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Titles lie in files by key; only files with a title of the source are rewritten."""
+    path = scratch_path(spark, "titles")
+    target = view(spark, sf, "upsert_target")
+    overwrite_table(target.repartitionByRange(8, "tconst"), path)
+    upsert_table(view(spark, sf, "upsert_source"), path, ["tconst"])
+    return scan_table(spark, path, target.schema)
+
+
+def _append_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch that is appended again replaces its first attempt; then all files are packed."""
+    path = scratch_path(spark, "run_log")
+    log = view(spark, sf, "run_log")
+    for attempt in ("unsuccessful", "success"):
+        append_table(log.filter("table_name <> 't1'").withColumn("status", F.lit(attempt)), path, "table_name", "others")
+        append_table(log.filter("table_name = 't1'"), path, "table_name", f"t1 {attempt}")
+    compact_table(spark, path, "table_name", 1)
+    return scan_table(spark, path, RUN_LOG_SCHEMA)
+
+
 def _land_principals_sample(spark: SparkSession, sf: str) -> DataFrame:
     order = ["tconst", "ordering", "nconst", "category", "characters"]
     sample = first_rows(view(spark, sf, "title_principals"), 1000, order)
@@ -301,6 +320,8 @@ def lakehouse_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "full_run": _full_run,
         "land_incremental": _land_incremental,
         "upsert_table_composite": _upsert_table_composite,
+        "upsert_table_files": _upsert_table_files,
+        "append_batches": _append_batches,
     }
     return {name: lambda s, d, frame=frame: _portable(frame(s, d)) for name, frame in frames.items()}
 
@@ -361,6 +382,14 @@ union all select stage, table_name, cast(date as varchar) as date, 'replaced' as
             "run_log",
         ),
         "upsert_table": with_views(_UPSERT, "upsert_target", "upsert_source"),
+        "upsert_table_files": with_views(_UPSERT, "upsert_target", "upsert_source"),
+        "append_batches": with_views(
+            f"""
+select stage, table_name, cast(date as varchar) as date, 'success' as status from run_log where table_name <> 't1'
+union all {log} from run_log where table_name = 't1'
+union all {log} from run_log where table_name = 't1'""",
+            "run_log",
+        ),
         "land_table": with_views(
             """
 select tconst, titleType, primaryTitle, originalTitle, isAdult, try_cast(startYear as int) as startYear, endYear, runtimeMinutes, genres,

@@ -19,6 +19,7 @@ from marquee.sources.files import BAD_LINE, header_schema, scan_table, scan_tsv_
 from marquee.sources.tables import (
     append_table,
     beside,
+    compact_table,
     evenly,
     overwrite_table,
     refuse_duplicates,
@@ -52,6 +53,7 @@ from marquee.specs import (
 )
 
 Publish = Callable[[DataFrame, str], None]
+LOG_FILES = 1_000  # of the run log; more are packed
 MAX_BAD_SHARE = 0.01  # of the lines of a raw file; more fail its stage
 
 
@@ -74,7 +76,9 @@ class Batch:
     """One run of the batch for one date.
 
     Stages pass their data on as tables under ``root``, so each can also be run, and run again after
-    a failure, on its own.
+    a failure, on its own. With a ``run_id``, log rows of an attempt that is repeated under the same one replace
+    those that it left before; without one every attempt has its rows. A repeated attempt replaces the bad
+    lines that it set aside for its date in any case.
     """
 
     def __init__(
@@ -85,9 +89,11 @@ class Batch:
         batch_date: date,
         publish: Publish | None = None,
         max_bad_share: float = MAX_BAD_SHARE,
+        run_id: str | None = None,
     ):
         self.spark = spark
         self.max_bad_share = max_bad_share
+        self.run_id = run_id
         self.inputs = inputs
         self.root = root
         self.batch_date = batch_date
@@ -130,7 +136,10 @@ class Batch:
             (stage, table, self.batch_date, FAILURE if failure else SUCCESS)
             for (stage, table), failure in failures.items()
         ]
-        append_table(log_rows(self.spark, rows).coalesce(1), f"{self.root}/{RUN_LOG}", "table_name")
+        batch = f"{self.run_id} {' '.join(f'{stage}/{table}' for stage, table in jobs)}" if self.run_id else ""
+        path = f"{self.root}/{RUN_LOG}"
+        append_table(log_rows(self.spark, rows).coalesce(1), path, "table_name", batch)
+        compact_table(self.spark, path, "table_name", LOG_FILES)
         raised = [failure for failure in failures.values() if failure]
         if len(raised) == 1:
             raise raised[0]
@@ -177,7 +186,7 @@ class Batch:
         n_lines, n_bad = read.agg(F.count(F.lit(1)), F.count(BAD_LINE)).first()
         if n_bad:
             bad = read.filter(F.col(BAD_LINE).isNotNull()).select(F.lit(self.batch_date).alias(BATCH_DATE_COLUMN), F.col(BAD_LINE).alias("line"))
-            append_table(bad, f"{self.root}/{REJECTED}/{name}")
+            append_table(bad, f"{self.root}/{REJECTED}/{name}", batch=str(self.batch_date))
         if n_bad > self.max_bad_share * n_lines:
             raise ValueError(f"{n_bad} of {n_lines} lines of {name} do not fit; they are in {REJECTED}/{name}")
         return read.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE)

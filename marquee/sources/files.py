@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from marquee.sources import versions
 from marquee.specs import NULL_TOKEN
 
 TABLE_FORMATS = ("parquet", "delta")
@@ -47,7 +48,11 @@ def scan_tsv_checked(spark: SparkSession, path: str | list[str], schema: StructT
 def scan_table(
     spark: SparkSession, path: str, schema: StructType | None = None, table_format: str = "parquet"
 ) -> DataFrame:
-    """A stored table. A schema fixes the type of the partition column and the order of the columns."""
+    """A stored table, as its published version says. A schema fixes the type of the partition column and the order of the columns."""
+    if table_format == "parquet":
+        version = versions.current(spark, path)
+        if version is not None:
+            return versions.read(spark, path, version, schema)
     reader = spark.read.format(table_format)
     if schema is None:
         return reader.load(path)

@@ -32,10 +32,62 @@ def rename(spark: SparkSession, source: str, destination: str) -> None:
         raise OSError(f"could not rename {source} to {destination}")
 
 
-def parent_of_file(spark: SparkSession, file_uri: str) -> str:
-    """Directory of a file given as Spark reports it in ``_metadata.file_path``."""
-    uri = spark._jvm.java.net.URI.create(file_uri)
-    return spark._jvm.org.apache.hadoop.fs.Path(uri).getParent().toString()
+def plain(spark: SparkSession, path: str) -> str:
+    """A path without scheme and host."""
+    fs, hadoop_path = _at(spark, path)
+    return fs.makeQualified(hadoop_path).toUri().getPath()
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there, or is a file or a pattern."""
+    fs, hadoop_path = _at(spark, path)
+    if not fs.exists(hadoop_path) or fs.getFileStatus(hadoop_path).isFile():
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """All data files below a folder, by their path there; hidden names, as Spark sees them, are left out."""
+    fs, hadoop_path = _at(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    start, found = len(plain(spark, path)) + 1, []
+    files = fs.listFiles(hadoop_path, True)
+    while files.hasNext():
+        name = files.next().getPath().toUri().getPath()[start:]
+        if not any(part.startswith((".", "_")) and "=" not in part for part in name.split("/")):
+            found.append(name)
+    return found
+
+
+def delete_file(spark: SparkSession, path: str, name: str) -> None:
+    """Delete a file below a folder, and the folders between that are empty then."""
+    delete(spark, f"{path}/{name}")
+    while "/" in name:
+        name = name.rsplit("/", 1)[0]
+        fs, folder = _at(spark, f"{path}/{name}")
+        if fs.exists(folder) and len(fs.listStatus(folder)):
+            return
+        fs.delete(folder, True)
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file; an error if it is there."""
+    fs, hadoop_path = _at(spark, path)
+    stream = fs.create(hadoop_path, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _at(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

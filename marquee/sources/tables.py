@@ -1,7 +1,7 @@
 """Writing parquet tables: overwrite, overwrite by partition, and upsert in place.
 
-What is to be replaced stays until its successor is complete, so a failed job costs nothing. Tasks are
-retried by Spark as usual; nothing is kept on an executor.
+What is to be replaced stays until its successor is complete and published in one step (``versions``), so a failed job
+or a driver that dies costs nothing. Tasks are retried by Spark as usual; nothing is kept on an executor.
 """
 
 from __future__ import annotations
@@ -9,17 +9,17 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from marquee.operators.landing import has_key, one_per_key, upsert
-from marquee.sources import paths
+from marquee.sources import paths, versions
 from marquee.sources.files import scan_table
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the table is there. A replacement that was interrupted half way is undone first."""
+    """Whether the table is there. A replacement by renaming, as it was done formerly, that was interrupted half way is undone first."""
     if not paths.exists(spark, path) and paths.exists(spark, _previous(path)):
         paths.rename(spark, _previous(path), path)
     return paths.exists(spark, path)
@@ -59,41 +59,36 @@ def evenly(df: DataFrame, partition_by: str | None = None, rows_per_task: int =
 def overwrite_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace the whole table, schema included.
 
-    The rows are written next to the table and take its place when they are complete, so ``df`` may
-    read the table it replaces. Two runs don't touch each other's unfinished rows.
+    The new rows are files of their own, which take the place of the old ones when they are complete and
+    published in one step, so ``df`` may read the table it replaces, and a reader sees either.
     """
     spark = df.sparkSession
     table_exists(spark, path)
-    following = beside(path, "next")
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    try:
-        writer.parquet(following)
-        if paths.exists(spark, path):
-            paths.delete(spark, _previous(path))
-            paths.rename(spark, path, _previous(path))
-        paths.rename(spark, following, path)
-    finally:
-        paths.delete(spark, following)
-    paths.delete(spark, _previous(path))
+    replaced = versions.stored(spark, path)
+    files = versions.written(df, path, partition_by)
+    versions.publish(spark, path, replaced, df.schema, dict.fromkeys(files, ""))
 
 
-def append_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    writer = df.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+def append_table(df: DataFrame, path: str, partition_by: str | None = None, batch: str = "") -> None:
+    """Add rows. Those of a named batch replace the rows that an earlier attempt at it has added."""
+    spark = df.sparkSession
+    replaced = versions.stored(spark, path)
+    kept = {name: own for name, own in replaced.files.items() if not batch or own != batch}
+    schema = replaced.schema or (scan_table(spark, path).select(*df.columns).schema if replaced.files else df.schema)
+    files = versions.written(df, path, partition_by)
+    versions.publish(spark, path, replaced, schema, kept | dict.fromkeys(files, batch))
 
 
-def _overwrite_partitions(df: DataFrame, path: str, partition_by: str) -> None:
-    """Replace the partitions that ``df`` has rows for. ``df`` may read the same table."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+def compact_table(spark: SparkSession, path: str, partition_by: str | None, most_files: int) -> bool:
+    """Pack a table of more than ``most_files`` files into few, a replacement like any other; whether that was done.
+
+    Its rows no longer belong to the batches that brought them.
+    """
+    version = versions.current(spark, path)
+    if version is None or len(version.files) <= most_files:
+        return False
+    overwrite_table(evenly(versions.read(spark, path, version), partition_by), path, partition_by)
+    return True
 
 
 def _is_one_of(column: str, values: list) -> Column:
@@ -121,21 +116,23 @@ def replace_partition(df: DataFrame, path: str, partition_by: str, value: str |
     table_exists(spark, path)
     refused = F.concat_ws(" ", F.lit(f"row outside partition {value}:"), F.col(partition_by).cast("string"))
     inside = F.when(F.col(partition_by).eqNullSafe(F.lit(value)), True).otherwise(F.raise_error(refused))
-    written = Observation()
-    _overwrite_partitions(
-        df.filter(inside).observe(written, F.count(F.lit(1)).alias("n_rows")), path, partition_by
-    )
-    if written.get["n_rows"] == 0:
-        table = scan_table(spark, path, StructType(df.schema.fields))
-        _remove_partitions(table.filter(_is_one_of(partition_by, [value])), partition_by)
+    replaced = versions.stored(spark, path)
+    schema = replaced.schema or df.schema
+    old = set()
+    if replaced.files:
+        rows = versions.read(spark, path, replaced, StructType(df.schema.fields)).filter(_is_one_of(partition_by, [value]))
+        old = _named(rows.select(F.col("_metadata.file_path").alias(FILE)), path)
+    files = versions.written(df.filter(inside), path, partition_by)
+    kept = {name: batch for name, batch in replaced.files.items() if name not in old}
+    versions.publish(spark, path, replaced, schema, kept | dict.fromkeys(files, ""))
+
 
+FILE = "_file_of_row"
 
-def _remove_partitions(rows: DataFrame, partition_by: str) -> None:
-    """Delete the partition directories that ``rows`` of a table lie in."""
-    spark = rows.sparkSession
-    located = rows.groupBy(partition_by).agg(F.max("_metadata.file_path").alias("file"))
-    for row in located.collect():  # one row per removed directory
-        paths.delete(spark, paths.parent_of_file(spark, row["file"]))
+
+def _named(rows: DataFrame, path: str) -> set[str]:
+    """The files in the column FILE, by their path below the table's folder; as many as there are files at most."""
+    return {versions.below(rows.sparkSession, path, row[0]) for row in rows.select(FILE).distinct().collect()}
 
 
 def upsert_table(
@@ -154,11 +151,9 @@ def upsert_table(
     further ones only with ``add_columns``; rows that stay then have NULL there. With ``keep``, source rows
     that don't fulfil it replace the row of their key by nothing.
 
-    An unpartitioned table is rewritten. Of a partitioned one, only the partitions that receive rows
-    or lose a matched row are rewritten. To find the latter, the keys of the partitions that receive
-    nothing are read; when the source is a full copy of the data there are none. A row may move to
-    another partition, and a partition that loses all its rows is removed afterwards. If the driver dies
-    before that, running the same upsert again completes it.
+    Only files that hold a row with a key of the source are rewritten; the others stay as they are. To find them
+    the keys of the table are read, once, and nothing else. A row may move to another partition, and a
+    partition that loses all its rows is gone. The table is replaced in one step.
 
     The source is written to a table beside this one first, because it is used more than once and may be
     expensive to read (gzip text is decoded by one task per file).
@@ -176,20 +171,32 @@ def upsert_table(
     try:
         source.write.parquet(scratch)
         batch = spark.read.schema(source.schema).parquet(scratch)
-        target = scan_table(spark, path, source.schema)
         if on_duplicate == "error":
             refuse_duplicates(batch, keys)
         elif on_duplicate == "last":
             batch = one_per_key(batch, keys, order_by)
-        if partition_by is None:
-            merged = upsert(target, batch, keys, "all")
-            overwrite_table(merged if keep is None else merged.filter(keep), path)
-        else:
-            _upsert_partitions(target, batch, path, keys, partition_by, keep)
+        _upsert_files(batch, path, keys, partition_by, keep)
     finally:
         paths.delete(spark, scratch)
 
 
+def _upsert_files(batch: DataFrame, path: str, keys: list[str], partition_by: str | None, keep: Column | None) -> None:
+    spark = batch.sparkSession
+    replaced = versions.stored(spark, path)
+    read = lambda files=None: versions.read(spark, path, replaced, batch.schema, files)
+    batch_keys = batch.filter(has_key(keys)).select(*keys).distinct()
+    touched = set()
+    if replaced.files:
+        located = read().select(*keys, F.col("_metadata.file_path").alias(FILE))
+        touched = _named(located.join(batch_keys, keys, "left_semi"), path)
+    merged = upsert(read(sorted(touched)), batch, keys, "all")
+    if keep is not None:
+        merged = merged.filter(keep)
+    files = versions.written(evenly(merged, partition_by), path, partition_by)
+    kept = {name: own for name, own in replaced.files.items() if name not in touched}
+    versions.publish(spark, path, replaced, batch.schema, kept | dict.fromkeys(files, ""))
+
+
 def _check_columns(source: DataFrame, path: str, add_columns: bool) -> None:
     try:
         stored = scan_table(source.sparkSession, path).columns
@@ -206,31 +213,3 @@ def refuse_duplicates(batch: DataFrame, keys: list[str]) -> None:
     counted = batch.filter(has_key(keys)).groupBy(*keys).count()
     for row in counted.filter(F.col("count") > 1).limit(1).collect():
         raise ValueError(f"several source rows for key {' '.join(str(row[k]) for k in keys)}")
-
-
-def _upsert_partitions(
-    target: DataFrame, batch: DataFrame, path: str, keys: list[str], partition_by: str, keep: Column | None = None
-) -> None:
-    # Both results have one row per partition value: no more than the directories of the table.
-    received = [row[0] for row in batch.select(partition_by).distinct().collect()]
-    batch_keys = batch.filter(has_key(keys)).select(*keys).distinct().withColumn("_matched", F.lit(True))
-    affected = (
-        target.filter(~_is_one_of(partition_by, received))
-        .select(*keys, partition_by)
-        .join(batch_keys, keys, "left")
-        .groupBy(partition_by)
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.count("_matched").alias("n_matched"))
-        .filter(F.col("n_matched") > 0)
-        .collect()
-    )
-    touched = received + [row[partition_by] for row in affected]
-    if not touched:
-        return
-    emptied = [row[partition_by] for row in affected if row["n_rows"] == row["n_matched"]]
-
-    merged = upsert(target.filter(_is_one_of(partition_by, touched)), batch, keys, "all")
-    if keep is not None:
-        merged = merged.filter(keep)
-    _overwrite_partitions(evenly(merged, partition_by), path, partition_by)
-    if emptied:
-        _remove_partitions(target.filter(_is_one_of(partition_by, emptied)), partition_by)
