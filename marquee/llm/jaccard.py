@@ -35,7 +35,7 @@ PAIRS_AT_ONCE = 1 << 15
 BLOCK_ROWS = 1024  # classes of a shingle that are compared with as many at once
 BUCKET_SHINGLES = 400_000  # prefix shingles that a task takes at once
 FLUSH_SHINGLES = 500_000
-NEAREST_ROUNDS = 2
+NEAREST_ROUNDS = 1
 SMALL_SET = 192  # of smaller sets, all shingles are in the first part
 ORDERS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 
@@ -346,8 +346,10 @@ def jaccard_components(docs: DataFrame, *, words: int = 4, num: int = 85, den: i
         labelled = postings.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         open_ = labelled.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members")).where("x <> y").select("shingle", "members")
         more = staged(_across(labelled.join(open_, "shingle").join(sets.select("rep", "bits"), "rep"), limit, nearest), "pairs-across")
-        links = staged(links.union(_linked(more, sets, limit)), "all-links")
-        found = components(links)
+        fresh = staged(_linked(more, sets, limit), "links-across")
+        if not fresh.isEmpty():
+            links = links.union(fresh)
+            found = components(links)
     by_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component"))
     rows = staged(every.join(by_class, "class", "left").select("id", "n", F.coalesce("component", "id").alias("component")), "components")
     # Rows of an id that is repeated with other texts join the components of these texts.
