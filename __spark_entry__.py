@@ -19,11 +19,13 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import ArrayType, DateType, DecimalType  # noqa: E402
 
 from fixture_views import view, with_views  # noqa: E402
+from marquee.operators.changes import indicators  # noqa: E402
 from marquee.operators.cleansed import dim_names, dim_titles, fact_principals  # noqa: E402
 from marquee.operators.kpis import (  # noqa: E402
     person_kpis,
     principal_kpis,
     role_kpis,
+    role_rows,
     serving_kpis,
     top_people,
 )
@@ -42,6 +44,7 @@ from marquee.operators.runlog import (  # noqa: E402
     status_on_date,
 )
 from marquee.plans.daily import raw_paths, run_batch  # noqa: E402
+from marquee.plans.incremental import refresh_fact, refresh_person_sums  # noqa: E402
 from marquee.sources.files import read_source, scan_table, scan_tsv  # noqa: E402
 from marquee.sources.paths import scratch_path  # noqa: E402
 from marquee.sources.tables import (  # noqa: E402
@@ -54,9 +57,13 @@ from marquee.sources.tables import (  # noqa: E402
 )
 from marquee.specs import (  # noqa: E402
     AGGREGATED,
+    CLEANSED,
+    FACT,
+    FACT_SCHEMA,
     KPIS,
     LANDING,
     NAME_BASICS,
+    PERSON_SUMS,
     RUN_LOG_SCHEMA,
     TITLE_BASICS,
     TITLE_PRINCIPALS,
@@ -275,6 +282,36 @@ def _upsert_table_composite(spark: SparkSession, sf: str) -> DataFrame:
     return scan_table(spark, path, credits("title_principals").schema)
 
 
+def _two_days(spark: SparkSession, sf: str, *refreshes: Callable[[SparkSession, str], str]) -> str:
+    """Titles, ratings and credits landed on two days, with what is made from them refreshed after each."""
+    root = scratch_path(spark, "lakehouse")
+    for day, suffix in ((date(2024, 1, 30), ""), (BATCH_DATE, "_2")):
+        for spec in (TITLE_BASICS, TITLE_RATINGS, TITLE_PRINCIPALS):
+            path, raw = f"{root}/{LANDING}/{spec.name}", view(spark, sf, spec.name + suffix)
+            typed = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in spec.schema])
+            landed = typed.withColumn("today_date", F.lit(day))
+            lasting = F.lit(True) if spec.min_votes is None else F.col("numVotes") > spec.min_votes
+            if suffix:
+                upsert_table(landed, path, list(spec.primary_key), spec.partition_by, spec.on_duplicate, keep=lasting)
+            else:
+                overwrite_table(evenly(landed.filter(lasting), spec.partition_by), path, spec.partition_by)
+        for refresh in refreshes:
+            refresh(spark, root)
+    return root
+
+
+def _fact_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The second day corrects the fact table by the titles that changed."""
+    root = _two_days(spark, sf, refresh_fact)
+    return scan_table(spark, f"{root}/{CLEANSED}/{FACT}", FACT_SCHEMA)
+
+
+def _kpis_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The second day corrects the sums of the persons whose credits changed."""
+    root = _two_days(spark, sf, refresh_fact, refresh_person_sums)
+    return role_rows(_names(spark, sf), indicators(scan_table(spark, f"{root}/{AGGREGATED}/{PERSON_SUMS}")))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """People by average rating, actors and actresses, from the raw tables at sf0.001."""
     return top_people(_role_kpis(spark, SMOKE_DIR), "both")
@@ -322,6 +359,8 @@ def lakehouse_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_table_composite": _upsert_table_composite,
         "upsert_table_files": _upsert_table_files,
         "append_batches": _append_batches,
+        "fact_incremental": _fact_incremental,
+        "kpis_incremental": _kpis_incremental,
     }
     return {name: lambda s, d, frame=frame: _portable(frame(s, d)) for name, frame in frames.items()}
 
@@ -349,6 +388,24 @@ _COMMA = r"string_split_regex(trim(regexp_replace(nullif(characters, '\N'), '[\[
 _JSON = r"cast(cast(nullif(characters, '\N') as json) as varchar[])"
 
 
+# The raw tables as they are after the second day, under shorter names.
+_SECOND_DAY = r"""
+tb as (select tconst, startYear, runtimeMinutes from title_basics anti join title_basics_2 using (tconst)
+  union all select tconst, startYear, runtimeMinutes from title_basics_2),
+tr as (select tconst, averageRating, numVotes from title_ratings anti join title_ratings_2 using (tconst)
+  union all select tconst, averageRating, numVotes from title_ratings_2),
+tp as (select tconst, nconst, category, characters from title_principals anti join title_principals_2 using (tconst, nconst)
+  union all select tconst, nconst, category, characters from title_principals_2)"""
+
+
+def _second_day_oracle(body: str) -> str:
+    for name, short in (("title_basics", "tb"), ("title_ratings", "tr"), ("title_principals", "tp")):
+        body = body.replace(name, short)
+    both = [f"{name}{suffix}" for name in _KPI_VIEWS[1:] for suffix in ("", "_2")]
+    body = body.strip().removeprefix("with ")
+    return with_views(f"with {_SECOND_DAY}{',' if ' as (' in body[:20] else ''} {body}", "name_basics", *both)
+
+
 def _kpi_oracle(body: str) -> str:
     return with_views(f"with {_TOTALS}\n{body}", *_KPI_VIEWS)
 
@@ -504,20 +561,24 @@ union all select stage, table_name, '2024-01-31' as date, 'unsuccessful' as stat
         "land_incremental": with_views(
             r"""
 select t.tconst, cast(null as varchar) as nconst, cast(try_cast(t.startYear as int) as varchar) as value, '2024-01-30' as today_date
-from title_basics t where not exists (select 1 from title_basics_2 s where s.tconst = t.tconst)
+from title_basics t anti join title_basics_2 using (tconst)
 union all select tconst, null as nconst, cast(try_cast(startYear as int) as varchar) as value, '2024-01-31' as today_date from title_basics_2
 union all select t.tconst, t.nconst, concat(t.category, ' ', t.ordering) as value, '2024-01-30' as today_date
-from title_principals t where not exists (select 1 from title_principals_2 s where s.tconst = t.tconst and s.nconst = t.nconst)
+from title_principals t anti join title_principals_2 using (tconst, nconst)
 union all select tconst, nconst, concat(category, ' ', ordering) as value, '2024-01-31' as today_date from title_principals_2""",
             "title_basics",
             "title_basics_2",
             "title_principals",
             "title_principals_2",
         ),
+        "fact_incremental": _second_day_oracle(_FACT.format(characters=_COMMA)),
+        "kpis_incremental": _second_day_oracle(
+            f"with {_TOTALS}\nselect {_KPI_COLUMNS}, count(*) as credits from principal_kpis group by {_KPI_COLUMNS}"
+        ),
         "upsert_table_composite": with_views(
             """
-select t.tconst, t.nconst, cast(t.ordering as int) as ordering, t.category from title_principals t
-where not exists (select 1 from title_principals_2 s where s.tconst = t.tconst and s.nconst = t.nconst)
+select t.tconst, t.nconst, cast(t.ordering as int) as ordering, t.category
+from title_principals t anti join title_principals_2 using (tconst, nconst)
 union all select tconst, nconst, cast(ordering as int) as ordering, category from title_principals_2""",
             "title_principals",
             "title_principals_2",

@@ -70,6 +70,12 @@ select concat('tt', lpad(cast(l_orderkey as string), 9, '0')) as tconst,
   case when l_linenumber = 1 then 'self' else 'actor' end as category,
   concat(chr(92), 'N') as job, concat(chr(92), 'N') as characters
 from {lineitem}, (select 0 as n union all select 1 as n) d where l_linenumber <= 3 and (n = 0 or l_linenumber = 2)""",
+    # Ratings of the second day: changed ones, and some that fall to few votes, which takes them back.
+    "title_ratings_2": """
+select concat('tt', lpad(cast(o_orderkey as string), 9, '0')) as tconst,
+  cast(100 + o_orderkey * 7 % 901 as double) / 100 as averageRating,
+  cast(case when o_orderkey % 3 = 0 then 500 else 20000 end as int) as numVotes
+from {orders} where o_orderkey % 5 = 1""",
     "run_log": """
 select event_type as stage, concat('t', cast(user_id % 7 as string)) as table_name, cast(ts as date) as date,
   case when value > 20 then 'unsuccessful' else 'success' end as status

@@ -52,10 +52,15 @@ def role_kpis(names: DataFrame, fact: DataFrame) -> DataFrame:
 
     ``credits`` is the number of credits of the person in that role.
     """
+    return role_rows(names, _totals(fact))
+
+
+def role_rows(names: DataFrame, totals: DataFrame) -> DataFrame:
+    """``role_kpis`` from the indicators of the persons, with their credits in each role in a column."""
     per_role = F.array(*[F.struct(F.lit(role).alias("role"), F.col(role).alias("credits")) for role in ROLES])
     return (
         names.select("nconst", "name")
-        .join(_totals(fact), "nconst")
+        .join(totals, "nconst")
         .withColumn("per_role", F.explode(per_role))
         .filter(F.col("per_role.credits") > 0)
         .select("nconst", "name", *KPI_COLUMNS[3:], "per_role.role", "per_role.credits")
@@ -71,7 +76,11 @@ def principal_kpis(names: DataFrame, fact: DataFrame, copies_per_row: int = COPI
     blocks of at most ``copies_per_row``, which are spread over the tasks before they are repeated.
     The number of partitions is given so that AQE does not merge these small rows again.
     """
-    by_role = role_kpis(names, fact)
+    return per_credit(role_kpis(names, fact), copies_per_row)
+
+
+def per_credit(by_role: DataFrame, copies_per_row: int = COPIES_PER_ROW) -> DataFrame:
+    """``principal_kpis`` from the rows of ``role_kpis``."""
     session = by_role.sparkSession
     tasks = int(session.conf.get("spark.sql.shuffle.partitions"))
     last_block = F.floor((F.col("credits") - 1) / copies_per_row)

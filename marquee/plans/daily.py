@@ -10,10 +10,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators.cleansed import dim_names, dim_titles, fact_principals
-from marquee.operators.kpis import principal_kpis, serving_kpis
+from marquee.operators.changes import indicators
+from marquee.operators.cleansed import dim_names, dim_titles
+from marquee.operators.kpis import per_credit, role_rows, serving_kpis
 from marquee.operators.landing import land_table, needs_refresh
 from marquee.operators.runlog import log_rows, serving_run_log
+from marquee.plans.incremental import refresh_fact, refresh_person_sums
 from marquee.sources import paths
 from marquee.sources.files import BAD_LINE, header_schema, scan_table, scan_tsv_checked
 from marquee.sources.tables import (
@@ -35,20 +37,19 @@ from marquee.specs import (
     DIM_NAMES,
     DIM_TITLES,
     FACT,
-    FACT_SCHEMA,
     FAILURE,
     KPIS,
     LANDING,
     NAME_BASICS,
+    PERSON_SUMS,
     REJECTED,
+    ROLE_KPIS,
     RUN_LOG,
     RUN_LOG_SCHEMA,
     SERVED_RUN_LOG,
     SUCCESS,
     TABLES,
     TITLE_BASICS,
-    TITLE_PRINCIPALS,
-    TITLE_RATINGS,
     TableSpec,
 )
 
@@ -200,18 +201,19 @@ class Batch:
         overwrite_table(dim_titles(titles), self._path(CLEANSED, DIM_TITLES))
 
     def _fact(self) -> None:
-        titles, ratings, principals = (
-            read_landed(self.spark, self.root, spec) for spec in (TITLE_BASICS, TITLE_RATINGS, TITLE_PRINCIPALS)
-        )
-        overwrite_table(fact_principals(titles, ratings, principals), self._path(CLEANSED, FACT), "role")
+        refresh_fact(self.spark, self.root)
 
     def _kpis(self) -> None:
+        refresh_person_sums(self.spark, self.root)
         names = scan_table(self.spark, self._path(CLEANSED, DIM_NAMES))
-        fact = scan_table(self.spark, self._path(CLEANSED, FACT), FACT_SCHEMA)
-        path = self._path(AGGREGATED, KPIS)
-        overwrite_table(principal_kpis(names, fact), path)
+        sums = scan_table(self.spark, self._path(AGGREGATED, PERSON_SUMS))
+        # Stored once, a row per person and role; the rows per credit and the published ones come from it.
+        path = self._path(AGGREGATED, ROLE_KPIS)
+        overwrite_table(role_rows(names, indicators(sums)), path)
+        by_role = scan_table(self.spark, path)
+        overwrite_table(per_credit(by_role), self._path(AGGREGATED, KPIS))
         if self.publish:
-            self.publish(serving_kpis(scan_table(self.spark, path)), KPIS)
+            self.publish(serving_kpis(by_role), KPIS)
 
 
 def run_batch(

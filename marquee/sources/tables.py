@@ -56,8 +56,10 @@ def evenly(df: DataFrame, partition_by: str | None = None, rows_per_task: int =
     return cut.withColumn("_part", part).hint("rebalance", partition_by, "_part").select(*df.columns)
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace the whole table, schema included.
+def overwrite_table(
+    df: DataFrame, path: str, partition_by: str | None = None, sources: dict[str, int] | None = None
+) -> None:
+    """Replace the whole table, schema included. ``sources`` are the versions of the tables that ``df`` was made from.
 
     The new rows are files of their own, which take the place of the old ones when they are complete and
     published in one step, so ``df`` may read the table it replaces, and a reader sees either.
@@ -66,7 +68,7 @@ def overwrite_table(df: DataFrame, path: str, partition_by: str | None = None) -
     table_exists(spark, path)
     replaced = versions.stored(spark, path)
     files = versions.written(df, path, partition_by)
-    versions.publish(spark, path, replaced, df.schema, dict.fromkeys(files, ""))
+    versions.publish(spark, path, replaced, df.schema, dict.fromkeys(files, ""), sources)
 
 
 def append_table(df: DataFrame, path: str, partition_by: str | None = None, batch: str = "") -> None:
@@ -197,6 +199,33 @@ def _upsert_files(batch: DataFrame, path: str, keys: list[str], partition_by: st
     versions.publish(spark, path, replaced, batch.schema, kept | dict.fromkeys(files, ""))
 
 
+def replace_keys(
+    rows: DataFrame,
+    changed: DataFrame,
+    path: str,
+    key: str,
+    partition_by: str | None = None,
+    sources: dict[str, int] | None = None,
+) -> None:
+    """Put ``rows`` in place of all rows whose key is in ``changed``, and of those without a key.
+
+    Unlike an upsert this also removes a key that has no rows any more. Files without such a key stay as they are; the
+    other rows of a file that is rewritten are copied without a shuffle. Both frames should be stored tables.
+    """
+    spark = rows.sparkSession
+    replaced = versions.stored(spark, path)
+    read = lambda files=None: versions.read(spark, path, replaced, rows.schema, files)
+    touched = set()
+    if replaced.files:
+        located = read().select(key, F.col("_metadata.file_path").alias(FILE))
+        without = located.filter(F.col(key).isNull())
+        touched = _named(located.join(changed, key, "left_semi").unionByName(without), path)
+    others = read(sorted(touched)).filter(F.col(key).isNotNull()).join(changed, key, "left_anti").select(*rows.columns)
+    files = versions.written(others.unionByName(evenly(rows, partition_by)), path, partition_by)
+    kept = {name: own for name, own in replaced.files.items() if name not in touched}
+    versions.publish(spark, path, replaced, rows.schema, kept | dict.fromkeys(files, ""), sources)
+
+
 def _check_columns(source: DataFrame, path: str, add_columns: bool) -> None:
     try:
         stored = scan_table(source.sparkSession, path).columns

@@ -48,6 +48,8 @@ DIM_NAMES = "dim_names"
 DIM_TITLES = "dim_titles"
 FACT = "fact_title_principals"
 KPIS = "actors_actress_kpis"
+ROLE_KPIS = "role_kpis"
+PERSON_SUMS = "person_sums"
 SERVED_RUN_LOG = "etl_pipeline_status"
 
 
