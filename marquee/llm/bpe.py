@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from marquee.llm.shared import broadcast_file, filled, worker_state
+from marquee.llm.shared import broadcast_file, filled, give_back, worker_state
 
 # The characters with Unicode's White_Space property, which \s stands for in the pattern.
 WHITE_SPACE = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
@@ -270,6 +270,7 @@ def bpe_tokens(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str =
     key = f"bpe {hashlib.sha256(content.value + pattern.encode()).hexdigest()}"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         coder = worker_state(key, lambda: ByteBpe(content.value, pattern))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):

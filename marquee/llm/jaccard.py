@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.ngramlm import _columns, _packets
-from marquee.llm.shared import KEY, parts_of, row_key, staged, with_ids
+from marquee.llm.shared import KEY, give_back, parts_of, row_key, staged, with_ids
 from marquee.llm.words import Splitter, grams, mixed
 
 SIGNATURE_BITS = 2048
@@ -127,6 +127,7 @@ def _collect(docs: DataFrame, n: int, limit: Threshold, buckets: int, id_col: st
     result = pa.schema([("kind", pa.string()), *[(c, pa.int64()) for c in "abcde"]])
 
     def sift(table: pa.Table) -> pa.Table:
+        give_back()
         kinds, sizes, data = (table.column(c).to_pylist() if c != "data" else table.column(c) for c in ("kind", "n", "data"))
         of = lambda kind: [(k, d.as_buffer()) for k, d, have in zip(sizes, data, kinds) if have == kind]
 
@@ -253,6 +254,7 @@ def _across(postings: DataFrame, limit: Threshold, nearest: bool = False) -> Dat
     dealt = dealt.select(*columns).repartition("shingle", "low", "high").sortWithinPartitions("shingle", "low", "high")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         waiting: list[pa.RecordBatch] = []
 
         def pairs_of(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:

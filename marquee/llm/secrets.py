@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.shared import TEXTS_AT_ONCE, filled, parts_of
+from marquee.llm.shared import TEXTS_AT_ONCE, filled, give_back, parts_of
 
 # The rules, the order of kinds, the characters of candidates.
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -215,6 +215,7 @@ def without_secrets(docs: DataFrame, models: CharModels, *, text_col: str = "tex
         return "".join(out) + text[done:]
 
     def replace(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        give_back()
         for column in columns:
             out = []
             for at in range(0, len(column), TEXTS_AT_ONCE):
@@ -222,7 +223,7 @@ def without_secrets(docs: DataFrame, models: CharModels, *, text_col: str = "tex
                 runs = long_runs(filled(some))
                 out.append(pa.array([text and clean(text, runs.get(k, [])) for k, text in enumerate(some.to_pylist())], pa.string()))
             yield pa.concat_arrays([pa.array([], pa.string()), *out])
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     replace.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn(text_col, F.arrow_udf(replace, "string")(text_col))

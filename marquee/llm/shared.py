@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import sys
 from collections.abc import Callable, Iterator
@@ -46,13 +47,22 @@ def with_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFram
 TEXTS_AT_ONCE = 1000
 
 
+def give_back() -> None:
+    """Return what Arrow and the C library have freed, so that a worker does not keep the peak of an earlier task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
 def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Few texts at a time; Arrow's freed memory goes back, so that a worker does not keep its peak for later tasks."""
+    """Few texts at a time; freed memory goes back before the first and after every batch."""
+    give_back()
     for batch in batches:
         for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
             yield batch.slice(at, TEXTS_AT_ONCE)
         del batch
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, columns: list[str], rows: int, id_col: str, text_col: str) -> DataFrame:
