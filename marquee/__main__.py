@@ -29,6 +29,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="marquee", description=__doc__)
     parser.add_argument("--root", required=True, help="folder of the zones, on storage that all executors share")
     parser.add_argument("--date", type=date.fromisoformat, default=date.today(), help="batch date, today if not given")
+    parser.add_argument("--run-id", help="name of the run; one that broke off goes on when it is named again")
     parser.add_argument("--stage", choices=STAGES, default="all")
     parser.add_argument(
         "--input",
@@ -53,7 +54,7 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> Batch:
     if args.jdbc_url:
         password = args.jdbc_password_file.read_text().strip() if args.jdbc_password_file else None
         publish = JdbcTarget(args.jdbc_url, args.jdbc_driver, args.jdbc_user, password).overwrite
-    return Batch(spark, inputs, args.root, args.date, publish)
+    return Batch(spark, inputs, args.root, args.date, publish, run_id=args.run_id)
 
 
 def main() -> None:

@@ -6,8 +6,9 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from marquee.functions.columns import number
+from marquee.functions.columns import null_token, number
 from marquee.operators.runlog import latest_success
 from marquee.specs import BATCH_DATE_COLUMN, TableSpec
 
@@ -20,6 +21,35 @@ def land_table(raw: DataFrame, spec: TableSpec, batch_date: date) -> DataFrame:
     return landed.withColumn(BATCH_DATE_COLUMN, F.lit(batch_date))
 
 
+def lenient_casts(df: DataFrame, casts: dict[str, DataType]) -> dict[str, DataType]:
+    """Those of ``casts`` that ``land_table`` really does: the others have their type already."""
+    return {name: kind for name, kind in casts.items() if df.schema[name].dataType != kind}
+
+
+def values_in(name: str) -> Column:
+    """An aggregate: how many rows have a value, the null token being none."""
+    return F.count(null_token(F.col(name).cast("string")))
+
+
+def lost_in_cast(name: str, kind: DataType) -> Column:
+    """An aggregate: how many values a lenient cast turns to NULL."""
+    value = null_token(F.col(name).cast("string"))
+    return F.count(F.when(value.isNotNull() & F.col(name).try_cast(kind).isNull(), 1))
+
+
+def cast_losses(df: DataFrame, casts: dict[str, DataType]) -> DataFrame:
+    """What lenient casts lose: column_name, n_values, n_lost, a row per column of ``casts``.
+
+    All columns are counted in one pass that reads nothing else. NULL and the null token are no values and no loss.
+    """
+    counts = [count for name, kind in casts.items() for count in (values_in(name).alias(f"n {name}"), lost_in_cast(name, kind).alias(f"lost {name}"))]
+    rows = [
+        F.struct(F.lit(name).alias("column_name"), F.col(f"`n {name}`").alias("n_values"), F.col(f"`lost {name}`").alias("n_lost"))
+        for name in casts
+    ]
+    return df.agg(*counts).select(F.inline(F.array(*rows)))
+
+
 def first_rows(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     """The first ``n`` rows in the given order: a volume cap that gives the same rows every time."""
     return df.orderBy(*order_by).limit(n)

@@ -60,6 +60,19 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
+def stamps(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """Length and modification time of every file that a path, a folder or a pattern names; hidden ones are left out."""
+    fs, hadoop_path = _at(spark, path)
+    found = {}
+    for match in fs.globStatus(hadoop_path) or []:
+        files = fs.listFiles(match.getPath(), True)
+        while files.hasNext():
+            status = files.next()
+            if not status.getPath().getName().startswith((".", "_")):
+                found[status.getPath().toString()] = [status.getLen(), status.getModificationTime()]
+    return dict(sorted(found.items()))
+
+
 def delete_file(spark: SparkSession, path: str, name: str) -> None:
     """Delete a file below a folder, and the folders between that are empty then."""
     delete(spark, f"{path}/{name}")

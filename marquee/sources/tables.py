@@ -146,8 +146,9 @@ def upsert_table(
     order_by: list[str] | None = None,
     add_columns: bool = False,
     keep: Column | None = None,
+    sources: dict[str, int] | None = None,
 ) -> None:
-    """Upsert into a stored table.
+    """Upsert into a stored table. ``sources`` says what it holds then, as in ``overwrite_table``.
 
     The source must have all columns of the table, because a matched row is replaced as a whole. It may bring
     further ones only with ``add_columns``; rows that stay then have NULL there. With ``keep``, source rows
@@ -177,12 +178,19 @@ def upsert_table(
             refuse_duplicates(batch, keys)
         elif on_duplicate == "last":
             batch = one_per_key(batch, keys, order_by)
-        _upsert_files(batch, path, keys, partition_by, keep)
+        _upsert_files(batch, path, keys, partition_by, keep, sources)
     finally:
         paths.delete(spark, scratch)
 
 
-def _upsert_files(batch: DataFrame, path: str, keys: list[str], partition_by: str | None, keep: Column | None) -> None:
+def _upsert_files(
+    batch: DataFrame,
+    path: str,
+    keys: list[str],
+    partition_by: str | None,
+    keep: Column | None,
+    sources: dict[str, int] | None = None,
+) -> None:
     spark = batch.sparkSession
     replaced = versions.stored(spark, path)
     read = lambda files=None: versions.read(spark, path, replaced, batch.schema, files)
@@ -196,7 +204,7 @@ def _upsert_files(batch: DataFrame, path: str, keys: list[str], partition_by: st
         merged = merged.filter(keep)
     files = versions.written(evenly(merged, partition_by), path, partition_by)
     kept = {name: own for name, own in replaced.files.items() if name not in touched}
-    versions.publish(spark, path, replaced, batch.schema, kept | dict.fromkeys(files, ""))
+    versions.publish(spark, path, replaced, batch.schema, kept | dict.fromkeys(files, ""), sources)
 
 
 def replace_keys(

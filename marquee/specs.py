@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     DecimalType,
     DoubleType,
     IntegerType,
+    LongType,
     ShortType,
     StringType,
     StructField,
@@ -43,6 +44,8 @@ CLEANSED_STAGES = {
     "fact_title_principals": "cleansed_fact_title_principals",
 }
 REJECTED = "rejected"
+NOTES = "landing_notes"
+JOURNAL = "journal"
 RUN_LOG = "metadata"
 DIM_NAMES = "dim_names"
 DIM_TITLES = "dim_titles"
@@ -74,6 +77,13 @@ class TableSpec:
     min_votes: int | None = None
     on_duplicate: str = "error"
 
+    @property
+    def required(self) -> tuple[str, ...]:
+        """The columns without which a raw file can't be landed; others may be missing from it."""
+        votes = () if self.min_votes is None else ("numVotes",)
+        by = (self.partition_by,) if self.partition_by else ()
+        return tuple(dict.fromkeys([*self.primary_key, *by, *self.casts, *votes]))
+
     @property
     def landed_schema(self) -> StructType | None:
         if self.schema is None:
@@ -152,6 +162,10 @@ TABLES = {
     )
 }
 
+NOTES_SCHEMA = _schema(
+    date=DateType(), table_name=StringType(), note=StringType(), column_name=StringType(), n_values=LongType()
+)
+
 RUN_LOG_SCHEMA = _schema(stage=StringType(), table_name=StringType(), date=DateType(), status=StringType())
 
 FACT_SCHEMA = _schema(

@@ -1,0 +1,170 @@
+"""Runs that break off and go on, and the lock between runs."""
+
+import gzip
+import os
+from datetime import date
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+
+from marquee.plans.daily import Batch, raw_paths, read_run_log
+from marquee.plans.journal import Journal, digest
+from marquee.sources import paths, versions
+from marquee.sources.files import scan_table
+from test_daily import D1, RAW, STAGES, write_raw
+
+JOBS = ["_land", "_dim_names", "_dim_titles", "_fact", "_kpis"]
+
+
+class Dead(BaseException):
+    """The driver is gone."""
+
+
+def attempt(spark, root, run_id="r1", day=D1, publish=None):
+    return Batch(spark, raw_paths(root), root, day, publish, run_id=run_id)
+
+
+def count_jobs(monkeypatch):
+    done = []
+    for job in JOBS:
+
+        def counted(self, *arguments, job=job, own=getattr(Batch, job)):
+            done.append(" ".join([job, *arguments[:1]]))
+            return own(self, *arguments)
+
+        monkeypatch.setattr(Batch, job, counted)
+    return done
+
+
+def kpis(spark, root, rows):
+    return rows(scan_table(spark, f"{root}/aggregated_zone/actors_actress_kpis"))
+
+
+# As in test_daily.py, where nothing breaks off.
+ANN, BOB = ("nm1", "actor", "Ann", Decimal("7.50000"), 180, 2), ("nm2", "actress", "Bob", None, None, 1)
+
+
+@pytest.mark.parametrize(
+    "after, noted",
+    [("name_basics", False), ("title_crew", True), ("dim_names", False), ("fact_title_principals", True), ("actors_actress_kpis", True)],
+)
+def test_resumes_after_each_stage(spark, tmp_path, rows, monkeypatch, after, noted):
+    """The driver dies right after a stage has published, before or after its entry is there."""
+    root = str(tmp_path / "lake")
+    write_raw(root)
+    finish = Journal.finish
+
+    def dying(self, stage, table, reads, wrote):
+        if table != after:
+            return finish(self, stage, table, reads, wrote)
+        if noted:
+            finish(self, stage, table, reads, wrote)
+        raise Dead
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Journal, "finish", dying)
+        patch.setattr(Journal, "__exit__", lambda *_: None)  # a dead driver releases nothing
+        with pytest.raises(Dead):
+            attempt(spark, root).run()
+    assert Journal(spark, root, "r1").holder() == "r1"
+    published = versions.current(spark, f"{root}/landing_zone/name_basics").number
+
+    done = count_jobs(monkeypatch)
+    attempt(spark, root).run()
+    assert kpis(spark, root, rows) == [ANN, ANN, BOB]
+    assert versions.current(spark, f"{root}/landing_zone/name_basics").number == published  # landed once
+    assert {tuple(r) for r in read_run_log(spark, root).collect()} == {(*s, D1, "success") for s in STAGES}
+    assert read_run_log(spark, root).count() == len(STAGES)
+    if noted and after == "actors_actress_kpis":
+        assert done == []
+    if noted:
+        assert not [job for job in done if after in job]
+    assert Journal(spark, root, "r1").holder() is None
+
+
+def test_rows_without_a_key_are_landed_once(spark, tmp_path, monkeypatch):
+    """An upsert would add them again."""
+    root = str(tmp_path)
+    write_raw(root, title_crew=[RAW["title_crew"][0], "\\N nm1", "tt1 nm3"])
+    with monkeypatch.context() as patch:
+        patch.setattr(Journal, "finish", lambda *_: (_ for _ in ()).throw(Dead))
+        with pytest.raises(BaseException):
+            attempt(spark, root).run()
+    attempt(spark, root).run()
+    assert scan_table(spark, f"{root}/landing_zone/title_crew").count() == 2
+
+
+def test_changed_input_runs_its_stages_again(spark, tmp_path, monkeypatch, rows):
+    root = str(tmp_path)
+    write_raw(root)
+    attempt(spark, root).run()
+    os.utime(raw_paths(root)["title_crew"], (1, 1))
+    crew = versions.current(spark, f"{root}/landing_zone/title_crew").number
+    names = Path(raw_paths(root)["name_basics"])
+    names.write_bytes(gzip.compress("\n".join(line.replace(" ", "\t") for line in [RAW["name_basics"][0], "nm1 Anna 1970 \\N actor tt1"]).encode()))
+    done = count_jobs(monkeypatch)
+    attempt(spark, root).run()
+    assert sorted(done) == ["_dim_names", "_kpis", "_land name_basics", "_land title_crew"]
+    assert versions.current(spark, f"{root}/landing_zone/title_crew").number == crew + 1
+    assert {r[2] for r in kpis(spark, root, rows)} == {"Anna", "Bob"}
+
+
+def test_a_table_that_was_replaced_since_is_made_again(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    write_raw(root)
+    attempt(spark, root).run()
+    Batch(spark, raw_paths(root), root, D1)._dim_titles()
+    done = count_jobs(monkeypatch)
+    attempt(spark, root).run()
+    assert done == ["_dim_titles"]
+
+
+def test_the_date_belongs_to_what_a_landing_stage_reads(spark, tmp_path):
+    root = str(tmp_path)
+    write_raw(root)
+    one, other = (attempt(spark, root, day=day)._reads("landing_zone", "title_crew") for day in (D1, date(2024, 1, 31)))
+    assert digest(one) != digest(other) and one["files"] == other["files"]
+
+
+def test_lock_keeps_others_out(spark, tmp_path):
+    root = str(tmp_path)
+    write_raw(root)
+    with Journal(spark, root, "r1"):
+        for other in ("r2", None):
+            with pytest.raises(RuntimeError, match="run 'r1' is at work"):
+                attempt(spark, root, other).run()
+        assert read_run_log(spark, root).count() == 0
+        with Journal(spark, root, "r1"):  # taken over
+            pass
+    with Journal(spark, root, None):
+        pass
+    assert Journal(spark, root, "r2").holder() is None
+
+
+def test_half_written_lock_and_entry(spark, tmp_path):
+    root = str(tmp_path)
+    journal = Journal(spark, root, "r1")
+    paths.create_text(spark, journal.lock, "")
+    with pytest.raises(RuntimeError, match="delete"):
+        journal.__enter__()
+    journal.finish("s", "t", {"a": 1}, {"b": 2})
+    assert journal.finished("s", "t", {"a": 1}, {"b": 2})
+    assert not journal.finished("s", "t", {"a": 1}, {"b": 3})
+    paths.delete(spark, journal._entry("s", "t"))
+    paths.create_text(spark, journal._entry("s", "t"), '{"reads"')
+    assert not journal.finished("s", "t", {"a": 1}, {"b": 2})
+
+
+def test_a_run_that_ends_well_removes_the_entries_of_others(spark, tmp_path):
+    root = str(tmp_path)
+    Journal(spark, root, "old").finish("s", "t", {}, {})
+    with Journal(spark, root, "new") as journal:
+        journal.finish("s", "t", {}, {})
+    assert paths.names(spark, journal.folder) == ["new"]
+
+
+def test_names_of_runs(spark):
+    for name in ("", "a/b", "..", "a b"):
+        with pytest.raises(ValueError, match="name"):
+            Journal(spark, "/nowhere", name)
