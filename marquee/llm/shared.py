@@ -47,6 +47,17 @@ def with_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFram
 TEXTS_AT_ONCE = 1000
 
 
+def few_rows_a_batch(spark: SparkSession) -> None:
+    """Lower the rows that this session sends to Python at once to TEXTS_AT_ONCE, if it sends more.
+
+    Spark's 10,000 long rows take up memory four times: as vectors and as a stream in the JVM, outside its heap, and as
+    a message and a batch in the worker.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXTS_AT_ONCE:
+        spark.conf.set(name, str(TEXTS_AT_ONCE))
+
+
 def give_back() -> None:
     """Return what Arrow and the C library have freed, so that a worker does not keep the peak of an earlier task."""
     pa.default_memory_pool().release_unused()
