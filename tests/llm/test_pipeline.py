@@ -46,3 +46,21 @@ def test_all_operators_are_registered():
     from marquee.llm.queries import QUERIES
 
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
+
+
+def test_odd_rows_go_through_all_stages(spark, documents, odd, tmp_path):
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for rows in ([*odd, *odd], []):
+        docs = documents(rows)
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            before = {(r.doc_id, r.text) for r in docs.collect()}
+            docs = stage(spark, docs, str(tmp_path))
+            assert docs.columns == columns, name
+            assert {(r.doc_id, r.text) for r in docs.collect()} <= before, name
+        found = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+        left = [(r.doc_id, r.text or "") for r in docs.collect()]
+        assert sorted((str(r.doc_id), r.decoded_sha256) for r in found) == sorted((str(i), hashlib.sha256(t.encode()).hexdigest()) for i, t in left)
+        spoken = [i for i, t in left if t.split()]
+        assert len(spoken) == len({t for _, t in left if t.split()})
