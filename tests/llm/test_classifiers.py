@@ -3,8 +3,10 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from marquee.llm.quality import fit_pairs, good_documents, quality_scores
+from marquee.llm import quality
+from marquee.llm.quality import feature_rows, features_in, fit_pairs, good_documents, quality_scores, train_quality
 from marquee.llm.toxicity import Rows, fit_chain, hashed, predict_chain, toxicity_scores, train_toxicity
 
 part = lambda i, n: zlib.crc32(str(i).encode()) % n
@@ -79,3 +81,30 @@ def test_toxicity_odd_rows(spark, documents, odd):
         got = toxicity_scores(documents(odd), train_toxicity(documents(odd), labels, ["toxic"]), ["toxic"]).collect()
         assert len(got) == len(odd) and all(0 <= r.p_toxic <= 1 for r in got)
     assert toxicity_scores(documents([]), train_toxicity(documents([]), labels, ["toxic"]), ["toxic"]).collect() == []
+
+
+def test_weights_are_those_of_all_pairs():
+    rng = np.random.default_rng(1)
+    good, bad = rng.normal(0.5, 1, (70, 3)), rng.normal(-0.5, 1, (50, 3))
+    ranking = fit_pairs(good, bad)
+    x = ((good[:, None] - bad[None]) / ranking.scale).reshape(-1, 3)
+    lost = 1 / (1 + np.exp(x @ ranking.weights))
+    assert np.abs(1e-3 * ranking.weights - lost @ x / len(x)).max() < 2e-4
+
+
+def test_quality_learns_from_every_labelled_row(spark):
+    docs = spark.range(24_000).selectExpr("id as doc_id", "if(id % 3 = 0, '## !', repeat('word ', int(1 + id % 7))) as text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 3 > 0 and doc_id % 7 > 0) as quality")
+    ranking = train_quality(feature_rows(docs, "doc_id", "text"), labels)
+    known = features_in(pa.array([r.text for r in docs.select("text").collect()]))
+    scores = ((known - ranking.center) / ranking.scale) @ ranking.weights
+    bad = labels.where("quality = 0").count()
+    assert ranking.center == pytest.approx(known.mean(0, dtype=float))
+    assert ranking.threshold == pytest.approx(np.quantile(scores, bad / 24_000))
+
+
+def test_a_value_is_found_by_its_rank_among_many(spark, monkeypatch):
+    monkeypatch.setattr(quality, "VALUES_AT_ONCE", 10)
+    values = spark.range(5000).select((F.pmod(F.xxhash64("id"), F.lit(3001)) / 7).alias("v")).cache()
+    ordered = sorted(r.v for r in values.collect())
+    assert [quality.value_at(values, rank) for rank in (0, 2500, 4999)] == [ordered[r] for r in (0, 2500, 4999)]
