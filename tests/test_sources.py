@@ -7,6 +7,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from marquee.operators import landing
+from marquee.sources import tables
 from marquee.sources import paths
 from marquee.sources.files import read_source, scan_table, scan_tsv
 from marquee.sources.tables import (
@@ -327,3 +329,33 @@ def test_one_large_partition_value_of_one_file_is_cut(spark, path, tmp_path):
 
 def test_two_runs_do_not_share_side_names(path):
     assert beside(path, "next") != beside(path, "next")
+
+
+def test_many_keys_are_looked_up_not_sorted(spark, monkeypatch):
+    monkeypatch.setattr(landing, "FEW_KEYS", 2)
+    rows, keys = spark.range(100).repartition(3), spark.range(50)
+    join = lambda: rows.join(landing.by_hash(keys), "id", "left_anti")
+    assert "ShuffledHashJoin" in join()._jdf.queryExecution().executedPlan().toString() and join().count() == 50
+    monkeypatch.setattr(landing, "KEYS_PER_TASK", 0)
+    assert "ShuffledHashJoin" not in join()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_upsert_counts_the_rows_of_a_value_without_the_join(spark, tmp_path, rows, monkeypatch):
+    path, seen = str(tmp_path / "t"), []
+    table = spark.range(40).selectExpr("id", "id % 2 as part", "'old' as v")
+    overwrite_table(table, path, "part")
+    whole = tables.evenly
+    monkeypatch.setattr(tables, "evenly", lambda df, by=None, **other: (seen.append(other["counted"]), whole(df, by, **other))[1])
+    upsert_table(spark.range(30, 50).selectExpr("id", "id % 3 as part", "'new' as v"), path, ["id"], "part")
+    assert seen[0].columns == ["part"] and "Join" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.id, r.part, r.v) for r in scan_table(spark, path).collect()}
+    assert got == {(i, i % 2, "old") for i in range(30)} | {(i, i % 3, "new") for i in range(30, 50)}
+
+
+def test_a_stored_source_is_not_written_again(spark, tmp_path, monkeypatch):
+    path, kept = str(tmp_path / "t"), []
+    overwrite_table(spark.range(5).selectExpr("id", "0 as v"), path)
+    monkeypatch.setattr(tables.paths, "delete", lambda spark, p, delete=tables.paths.delete: (kept.append([f.name for f in tmp_path.glob("*batch*/*")]), delete(spark, p)))
+    upsert_table(spark.range(3, 8).selectExpr("id", "1 as v"), path, ["id"], on_duplicate="all", stored=True)
+    assert ["keys"] in kept and not any("rows" in names for names in kept)
+    assert {(r.id, r.v) for r in scan_table(spark, path).collect()} == {(i, int(i > 2)) for i in range(8)}
