@@ -191,3 +191,18 @@ def test_indicators_equal_those_of_the_fact(spark, lake, rows):
     known = person_kpis(names, fact).filter("total_titles_as_principal > 0")
     assert rows(indicators(sums).select(*known.columns)) == rows(known)
     assert rows(added_up(person_sums(fact), person_sums(fact, -1))) == []
+
+
+def test_sums_and_changes_use_no_wide_decimals(spark, lake):
+    fact = anew(spark, lake)
+    sums, changes = (df._jdf.queryExecution().optimizedPlan().toString() for df in (person_sums(fact), changed_keys(fact, fact, "tconst")))
+    assert "sum(rating" not in sums and "decimal(20,0)" not in changes
+
+
+def test_sums_of_ratings_are_exact(spark):
+    fact = spark.createDataFrame([("p", "actor", r, 1) for r in ("0.1", "0.2", "9.9", None)], "nconst string, role string, r string, run_time_minutes int")
+    fact = fact.withColumn("rating", F.col("r").cast("decimal(10,1)"))
+    for sign in (1, -1):
+        row = person_sums(fact, sign).first()
+        assert str(row.rating_sum) == ("10.2" if sign == 1 else "-10.2") and row.rated == 3 * sign
+    assert person_sums(fact).schema["rating_sum"].dataType.simpleString() == "decimal(20,1)"
