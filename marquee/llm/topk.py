@@ -2,14 +2,13 @@
 
 Each shard of the candidates has a KD-tree: nodes are split at the median of their widest dimension and keep
 their tight bounding box and smallest id. A block of queries goes through the shards one after the other.
-In a shard every query visits nodes best first, by the highest inner product that the node's box allows,
-and stops when that can't change its list. The k-th score found so far goes on to the next shard, so later
-shards are mostly ended at their root.
+In a shard every query starts at the leaf whose box allows the highest inner product, and then reads the leaves whose box
+allows one that can still change its list; queries that read the same leaf do so together, by one matrix product. The
+k-th score found so far goes on to the next shard, so later shards are mostly read less.
 """
 
 from __future__ import annotations
 
-import heapq
 import io
 from collections.abc import Iterator
 
@@ -23,6 +22,7 @@ from marquee.llm.shared import staged
 
 SHARD_ROWS = 8192
 LEAF_ROWS = 64
+LEAVES_AT_ONCE = 8
 BLOCK_ROWS = 1024
 LARGEST = float(2**62)
 EXACT = 1 << 53  # sums of products below are exact in doubles
@@ -108,41 +108,58 @@ class Best:
 
 
 def search(tree: Tree, own: np.ndarray, queries: np.ndarray, best: list[Best]) -> int:
-    """Offer the tree's vectors to every query's list; returns how many leaves were read."""
+    """Offer the tree's vectors to every query's list; returns how many leaves were read, added up over the queries.
+
+    Every query starts at the leaf that allows it most. The others are read a few at a time, those first that allow most
+    to all queries together, by one product for all queries that they may still change something for.
+    """
     most = max(1, int(np.abs(queries).max(initial=0))) * max(1, int(max(np.abs(tree.high).max(initial=0), np.abs(tree.low).max(initial=0)))) * max(1, queries.shape[1])
     kind = np.float64 if most < EXACT else object  # Python's integers, where doubles are not exact
-    q, low, high, vectors = (x.astype(kind) for x in (queries, tree.low, tree.high, tree.vectors))
-    up, down = np.maximum(q, 0), np.minimum(q, 0)
-    bounds = up @ high.T + down @ low.T
-    inner, read = len(tree.span) // 2, 0
-    for i, found in enumerate(best):
-        bound, query = bounds[i], q[i]
-        heap = [(-bound[0], int(tree.least[0]), 0)]
-        while heap:
-            negative, least, node = heapq.heappop(heap)
-            a, b = tree.span[node]
-            if a == b:
-                continue
-            if found.full():
-                kth = found.scores[-1]
-                if -negative < kth:
-                    break
-                if -negative == kth and least > found.ids[-1]:
-                    continue
-            if node < inner:
-                for child in (2 * node + 1, 2 * node + 2):
-                    heapq.heappush(heap, (-bound[child], int(tree.least[child]), child))
-                continue
-            read += 1
-            scores, ids = vectors[a:b] @ query, tree.ids[a:b]
-            keep = ids != own[i]
-            if found.full():
-                keep &= scores >= found.scores[-1]
-            if keep.any():
-                scores = scores[keep]
-                if kind is object:  # a score beyond 64 bits counts as the last that they hold
-                    scores = np.array([min(max(int(s), 1 - 2**63), 2**63 - 1) for s in scores], np.int64)
-                found.offer(scores.astype(np.int64), ids[keep])
+    leaves = np.arange(len(tree.span) // 2, len(tree.span))
+    leaves = leaves[tree.span[leaves, 0] < tree.span[leaves, 1]]
+    q, low, high, vectors = (x.astype(kind) for x in (queries, tree.low[leaves], tree.high[leaves], tree.vectors))
+    bounds = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
+    kth, last = np.full(len(best), -np.inf, kind), np.zeros(len(best), np.int64)
+
+    def learn(i: int) -> None:
+        if best[i].full():
+            kth[i], last[i] = int(best[i].scores[-1]) if kind is object else best[i].scores[-1], best[i].ids[-1]
+
+    for i in range(len(best)):
+        learn(i)
+    unread, read = np.ones(bounds.shape, bool), 0
+
+    def visit(some: np.ndarray, asking: np.ndarray) -> None:
+        nonlocal read
+        reach, least = bounds[np.ix_(asking, some)], tree.least[leaves[some]]
+        limit = kth[asking][:, None]
+        use = unread[np.ix_(asking, some)] & ((reach > limit) | (reach == limit) & (least <= last[asking][:, None])).astype(bool)
+        asking, some, use = asking[use.any(1)], some[use.any(0)], use[use.any(1)][:, use.any(0)]
+        if not len(asking):
+            return
+        read += int(use.sum())
+        rows = np.concatenate([np.arange(*tree.span[leaf]) for leaf in leaves[some]])
+        ids, scores = tree.ids[rows], q[asking] @ vectors[rows].T
+        # What a query has read, or need not read, is left out.
+        keep = np.repeat(use, [tree.span[leaf, 1] - tree.span[leaf, 0] for leaf in leaves[some]], axis=1)
+        keep &= (scores >= kth[asking][:, None]).astype(bool) & (ids != own[asking][:, None])
+        for j in np.flatnonzero(keep.any(1)):
+            found = scores[j, keep[j]]
+            if kind is object:  # a score beyond 64 bits counts as the last that they hold
+                found = np.array([min(max(int(s), 1 - 2**63), 2**63 - 1) for s in found], np.int64)
+            best[asking[j]].offer(found.astype(np.int64), ids[keep[j]])
+            learn(asking[j])
+
+    if not len(leaves):
+        return read
+    first = bounds.argmax(1)
+    for leaf in np.unique(first):
+        visit(np.array([leaf]), np.flatnonzero(first == leaf))
+    unread[np.arange(len(best)), first] = False
+    order, at, size, everyone = np.argsort(-bounds.sum(0), kind="stable"), 0, 1, np.arange(len(best))
+    while at < len(order):
+        visit(order[at : at + size], everyone)
+        at, size = at + size, min(2 * size, LEAVES_AT_ONCE)
     return read
 
 

@@ -70,3 +70,18 @@ def test_boxes_save_leaves():
     best = [Best(5)]
     assert search(tree, np.array([-1]), np.array([[10, -3, 2]]), best) < 16  # of 64 leaves
     assert best[0].scores.tolist() == sorted((vectors @ [10, -3, 2]).tolist(), reverse=True)[:5]
+
+
+def test_queries_read_a_leaf_together(monkeypatch):
+    """Lists are offered what may change them, once for some leaves: far less often than leaves are read."""
+    rng = np.random.default_rng(4)
+    vectors = rng.integers(-50, 50, (2048, 40))
+    tree, asked, offers = Tree.build(np.arange(2048), vectors), vectors[::20], []
+    monkeypatch.setattr(Best, "offer", lambda self, s, i, offer=Best.offer: (offers.append(1), offer(self, s, i)))
+    best = [Best(5) for _ in asked]
+    read = search(tree, np.arange(0, 2048, 20), asked, best)
+    assert 2.5 * len(offers) < read
+    for i, query in enumerate(asked):
+        scores = vectors @ query
+        scores[20 * i] = -(10**9)
+        assert best[i].ids.tolist() == sorted(range(2048), key=lambda r: (-scores[r], r))[:5]
