@@ -26,10 +26,11 @@ from marquee.llm.shared import broadcast_file, filled, give_back, worker_state
 
 # The characters with Unicode's White_Space property, which \s stands for in the pattern.
 WHITE_SPACE = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
-KEPT_PIECES = 300_000  # pieces of text that a worker keeps; the table is emptied when full
+KEPT_PIECES = 100_000  # pieces of text that a worker keeps in half a table; when the newer half is full, the older one is emptied
+TEXTS_A_STEP = 200  # encoded at once
 NONE = 1 << 62
 WIDE = 64  # bytes of the longest piece that is merged together with others
-TOGETHER = 8192
+TOGETHER = 4096
 
 
 def parse_ranks(content: bytes) -> dict[bytes, int]:
@@ -270,11 +271,11 @@ def bpe_tokens(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str =
     key = f"bpe {hashlib.sha256(content.value + pattern.encode()).hexdigest()}"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
+        give_back(keep=key)
         coder = worker_state(key, lambda: ByteBpe(content.value, pattern))
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, TEXTS_A_STEP):
+                part = batch.slice(at, TEXTS_A_STEP)
                 packed = coder.packed_all(filled(part.column(1)).to_pylist())
                 ids_hash, text_hash, decimals = [], [], coder.decimals
                 for ids in map(ids_of, packed):
@@ -285,5 +286,7 @@ def bpe_tokens(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str =
                     [part.column(0), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())],
                     names=[id_col, "n_tokens", "ids", "ids_sha256", "decoded_sha256"],
                 )
+                del packed, part
+                give_back(keep=key)
 
     return docs.select(id_col, text_col).mapInArrow(encode, f"`{id_col}` {kind}, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string")

@@ -58,8 +58,14 @@ def few_rows_a_batch(spark: SparkSession) -> None:
         spark.conf.set(name, str(TEXTS_AT_ONCE))
 
 
-def give_back() -> None:
-    """Return what Arrow and the C library have freed, so that a worker does not keep the peak of an earlier task."""
+def give_back(keep: str | None = None) -> None:
+    """Return what Arrow and the C library have freed, so that a worker does not keep the peak of an earlier task.
+
+    What other operators than ``keep`` have left with ``worker_state`` goes too.
+    """
+    kept = sys.__dict__.get("_marquee_llm_state", {})
+    for key in [key for key in kept if key != keep]:
+        del kept[key]
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
     if trim is not None:
@@ -95,7 +101,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, columns: list[str], rows:
 
 
 def worker_state(key: str, make: Callable[[], object]) -> object:
-    """Something that a Python worker builds once and keeps for its later tasks."""
+    """Something that a Python worker builds once and keeps for its later tasks of the same operator."""
     kept = sys.__dict__.setdefault("_marquee_llm_state", {})
     if key not in kept:
         kept[key] = make()

@@ -1,0 +1,41 @@
+"""What a Python worker keeps between tasks."""
+
+import public_tokenizers
+
+from marquee.llm.bpe import ByteBpe, bpe_tokens
+from marquee.llm.shared import give_back, parts_of, worker_state
+
+PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def test_an_operator_drops_what_others_have_left():
+    made = []
+    state = lambda key: worker_state(key, lambda: made.append(key) or key)
+    state("a")
+    give_back(keep="a")
+    state("a")
+    assert made == ["a"]
+    list(parts_of(iter([])))  # a task of an operator without a state
+    state("a")
+    assert made == ["a", "a"]
+    give_back(keep="b")
+    state("a")
+    assert made == ["a"] * 3
+    give_back()
+
+
+def test_tables_of_the_encoder_stay_small():
+    """At some 200 bytes an entry, the tables of a worker stay below 100 MB."""
+    with open(PATH, "rb") as f:
+        coder = ByteBpe(f.read(), PATTERN)
+    for at in range(0, 250_000, 10_000):
+        coder.packed_all([" ".join(f"{i:06d}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(k, k + 1000)) for k in range(at, at + 10_000, 1000)])
+    assert sum(len(table) for kept in (coder.words, coder.cuts) for table in (kept.new, kept.old)) <= 450_000
+
+
+def test_batches_larger_than_a_step(spark):
+    """Rows beyond the first step of a batch are encoded as others."""
+    docs = spark.range(1001).selectExpr("id as doc_id", "concat('text ', id % 7) as text").coalesce(1)
+    rows = bpe_tokens(docs, PATH, PATTERN).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(1001))
+    assert len({r.ids_sha256 for r in rows}) == 7
