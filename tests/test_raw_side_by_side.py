@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from marquee.specs import TABLES
 
 
-@pytest.mark.parametrize("query", [entry._full_run])
+@pytest.mark.parametrize("query", [entry._full_run, entry._resumed_run])
 def test_all_raw_tables_are_under_way_at_once(spark, monkeypatch, query):
     together, written = Barrier(len(TABLES), timeout=30), []
 
