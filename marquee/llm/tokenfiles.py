@@ -26,10 +26,12 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import compress
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,13 @@ SAMPLE_BYTES = 16_384  # only whole documents up to this size are samples: the d
 DICTIONARY_BYTES = 65_536
 LEVEL = 3
 KEPT_WORDS = 300_000
+PORTION = 8_000_000  # bytes of text that are encoded at once: the more, the fewer words are looked up again
+
+# The pattern of CLIP's tokenizer, and its normalizers.
+CLIP = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+CLIP_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-/:-@\[-`{-~"
+ONE_PIECE = f"^(?:[{LETTERS}]+|[{MARKS}]+)$"
 
 
 class WordTokenizer:
@@ -53,6 +62,10 @@ class WordTokenizer:
     Its splitting pattern and its normalizer never look across ASCII white space, so words between such are
     encoded once and kept in a bounded table. `whole` says whether that does not hold, and texts are encoded
     as they are.
+
+    CLIP's pattern always ends a piece between a letter and an ASCII mark, so there words are parted too. A part of
+    common letters or of marks alone is one piece, unchanged but for its case: `pieces`, with the same model, encodes
+    those without the normalizer and the pattern.
     """
 
     def __init__(self, content: bytes):
@@ -62,9 +75,13 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_buffer(content)
         self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 65_536
         self.type = np.dtype("<u4" if self.wide else "<u2")
-        self.whole = not self._drops_white_space(json.loads(content))
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        config = json.loads(content)
+        self.whole = not self._drops_white_space(config)
+        self.pieces = None
+        if not self.whole and self._is_like_clip(config):
+            self._take_pieces(config)
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     @staticmethod
     def _drops_white_space(config: dict) -> bool:
@@ -81,9 +98,57 @@ class WordTokenizer:
             and not any(c.isspace() for t in config.get("added_tokens", []) for c in t["content"])
         )
 
+    @staticmethod
+    def _is_like_clip(config: dict) -> bool:
+        """Whether pattern, normalizers and byte pairs are CLIP's, and no added token fits into a piece."""
+        steps = config["pre_tokenizer"]["pretokenizers"]
+        added = config.get("added_tokens", [])
+        return (
+            (steps[0]["pattern"], [step["type"] for step in steps]) == ({"Regex": CLIP}, ["Split", "ByteLevel"])
+            and not steps[1].get("use_regex", True)
+            and [n["type"] for n in (config.get("normalizer") or {}).get("normalizers") or []] == CLIP_NORMALIZERS
+            and (config["model"].get("type"), config["model"].get("end_of_word_suffix")) == ("BPE", "</w>")
+            and not any(t.get("normalized") or re.search(ONE_PIECE, t["content"].lower()) for t in added)
+        )
+
+    def _take_pieces(self, config: dict) -> None:
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.last = np.zeros(max(config["model"]["vocab"].values()) + 1, bool)
+        self.last[[i for token, i in config["model"]["vocab"].items() if token.endswith("</w>")]] = True
+        # Texts that are not parted or lowered: with added tokens, in either case, or with combining marks, as these
+        # join some capitals and not their small letters, or the other way round.
+        self.guard = "(?i)" + "|".join([*(re.escape(t["content"]) for t in config.get("added_tokens", [])), r"[\x{300}-\x{36f}]"])
+
+    def _parted(self, texts: pa.Array) -> pa.Array:
+        """The same ids, with fewer different words: a space between letters and marks, and A-Z lowered."""
+        if self.pieces is None:
+            return texts
+        # In this order: of a slice whose offsets do not begin at 0, ascii_lower takes the wrong bytes.
+        parted = pc.ascii_lower(pc.replace_substring_regex(texts, f"([{LETTERS}])([{MARKS}])", r"\1 \2"))
+        return pc.if_else(pc.match_substring_regex(texts, self.guard), texts, parted)
+
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces_encoded(self, words: list[str]) -> list[bytes]:
+        """Many words of one piece as one text, cut behind the ids that end a piece."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 256):
+            some = words[at : at + 256]
+            ids = np.array(self.pieces.encode_batch_fast([" ".join(some).lower()], add_special_tokens=False)[0].ids, self.type)
+            cuts = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            if len(cuts) == len(some):
+                ids, size = ids.tobytes(), self.type.itemsize
+                out += [ids[size * a : size * b] for a, b in zip([0, *cuts], cuts)]
+            else:
+                out += self._encoded(some)
+        return out
+
     def _words_encoded(self, words: list[str]) -> list[bytes]:
         """Many words without the digit 0 as one text, with that digit between them, cut at its id."""
         out: list[bytes] = []
@@ -99,33 +164,48 @@ class WordTokenizer:
                 out += self._encoded(some)
         return out
 
-    def packed(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text in UTF-8, serialized."""
-        if self.whole:
-            return self._encoded([text.decode() for text in texts])
-        words = [text.split() for text in texts]  # of bytes: at ASCII white space only
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of different words, from the table or encoded."""
         if len(self.new) >= KEPT_WORDS:
             self.old, self.new = self.new, {}
-        unknown = []
-        for word in set().union(*words).difference(self.new):
-            if (ids := self.old.get(word)) is not None:
-                self.new[word] = ids
-            else:
-                unknown.append(word)
-        plain = [word for word in unknown if b"0" not in word]
-        other = [word for word in unknown if b"0" in word]
-        self.new.update(zip(plain, self._words_encoded([word.decode() for word in plain])))
-        self.new.update(zip(other, self._encoded([word.decode() for word in other])))
-        new = self.new
-        out = [b"".join([new[w] for w in of_text]) for of_text in words]
+        new, old = self.new, self.old
+        unknown = [word for word in words if word not in new]
+        new.update((word, old[word]) for word in unknown if word in old)
+        unknown = [word for word in unknown if word not in old]
+        rest = unknown
+        if self.pieces is not None:
+            one = pc.match_substring_regex(pa.array(unknown, pa.large_string()), ONE_PIECE).to_numpy(zero_copy_only=False)
+            pieces, rest = list(compress(unknown, one)), list(compress(unknown, ~one))
+            new.update(zip(pieces, self._pieces_encoded(pieces)))
+        plain = [word for word in rest if "0" not in word]
+        other = [word for word in rest if "0" in word]
+        new.update(zip(plain, self._words_encoded(plain)))
+        new.update(zip(other, self._encoded(other)))
+        out = [new[word] for word in words]
         for word in unknown:
             if len(word) > 64:
                 del new[word]
         return out
 
+    def packed(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text, serialized; null counts as empty."""
+        texts = filled(texts).cast(pa.large_string())
+        if self.whole or not len(texts):
+            return self._encoded(texts.to_pylist())
+        words = pc.ascii_split_whitespace(self._parted(texts))
+        different = words.flatten().dictionary_encode()
+        ids = pa.array(self._of_words(different.dictionary.to_pylist()), pa.large_binary()).take(different.indices)
+        ends = np.frombuffer(ids.buffers()[1], "<i8")[words.offsets.to_numpy()].tolist()
+        ids = (ids.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
+
 
-def utf8(column: pa.Array) -> list[bytes]:
-    return filled(column).cast(pa.binary()).to_pylist()
+def portions(batch: pa.RecordBatch, texts: int) -> Iterator[pa.RecordBatch]:
+    """All rows, as many at once as have some PORTION bytes of text in the column of that number, but one at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(texts)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    starts = [0, *(np.flatnonzero(np.diff(ends // PORTION)) + 1).tolist(), batch.num_rows]
+    if batch.num_rows:
+        yield from (batch.slice(at, end - at) for at, end in zip(starts, starts[1:]))
 
 
 def train_dictionary(docs: DataFrame, tokenizer, key: str, text_col: str) -> bytes:
@@ -135,8 +215,9 @@ def train_dictionary(docs: DataFrame, tokenizer, key: str, text_col: str) -> byt
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = worker_state(key, lambda: WordTokenizer(tokenizer.value))
         for batch in batches:
-            ids = [p for p in coder.packed(utf8(batch.column(0))) if p]
-            yield pa.RecordBatch.from_arrays([pa.array([p for p in ids if len(p) <= SAMPLE_BYTES], pa.binary())], names=["ids"])
+            for part in portions(batch, 0):
+                ids = [p for p in coder.packed(part.column(0)) if 0 < len(p) <= SAMPLE_BYTES]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
 
     # The hashes are even, so a share of their range is as large a share of the texts, at every size.
     chosen = docs.select(text_col).where(F.xxhash64(text_col).cast("double") < F.lit(-(2.0**63) + share * 2.0**64)) if share < 1 else docs.select(text_col)
@@ -184,7 +265,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, *, end_
 
     The manifest has a row per shard: shard (position in the order), file, n_docs, n_ids. Every document gets end_id
     at its end. Null texts count as empty; a null id comes first; rows with equal ids are ordered by their
-    text. Other columns are left out. An empty table has no shards. A task holds 500 texts and an index.
+    text. Other columns are left out. An empty table has no shards. A task holds a portion of its texts and an index.
     """
     spark = docs.sparkSession
     tokenizer = broadcast_file(spark, tokenizer_path)
@@ -205,13 +286,12 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, *, end_
         offsets, counts = [HEADER], []
         keys: list[pa.Array] = []
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
+            for part in portions(batch, 1):
                 if out is None:
                     out = file_system(folder)[0].open_output_stream(f"{file_system(folder)[1]}/{name}")
                     out.write(MAGIC + hashlib.sha256(dictionary).digest() + int(coder.type.itemsize).to_bytes(4, "little") + bytes(4))
                 keys.append(part.column(0))
-                for ids in coder.packed(utf8(part.column(1))):
+                for ids in coder.packed(part.column(1)):
                     frame = pack.compress(ids + end)
                     out.write(frame)
                     offsets.append(offsets[-1] + len(frame))

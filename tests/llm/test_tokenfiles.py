@@ -1,10 +1,12 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from marquee.llm.tokenfiles import ShardReader, WordTokenizer, read_token_files, write_token_files
+from marquee.llm.tokenfiles import ShardReader, WordTokenizer, portions, read_token_files, write_token_files
 from marquee.sources.paths import scratch_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -62,3 +64,42 @@ def test_words_alone_are_only_taken_where_that_is_right():
         assert not WordTokenizer(f.read()).whole
     with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
         assert WordTokenizer(f.read()).whole
+
+
+def coder_of(name):
+    with open(public_tokenizers.path(name), "rb") as f:
+        return WordTokenizer(f.read())
+
+
+def test_parts_of_words_are_encoded_once_in_either_case():
+    coder = coder_of("word_bpe_49k.json")
+    given = []
+    for way in ("_pieces_encoded", "_words_encoded", "_encoded"):
+        setattr(coder, way, lambda words, encode=getattr(coder, way): given.extend(words) or encode(words))
+    texts = ["the cat, The cat. THE CAT!!", "the dog's; don't", "CAT!!!"]
+    assert coder.packed(pa.array(texts)) == [np.array(coder.tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert sorted(given) == ["!!", "!!!", "'s", "'t", ",", ".", ";", "cat", "dog", "don", "the"]
+
+
+def test_parted_words_have_the_ids_of_their_text():
+    coder, r = coder_of("word_bpe_49k.json"), random.Random(3)
+    alphabet = ["A", "h", "J", "T", "s", "S", "é", "É", "ß", "ẞ", "İ", "ı", "×", "÷", "µ", "ª", "K", "Σ", "漢", "😀", "0", "7", "²", "'", "'S", "'ll", ".", "$", "<", "|", ">"]
+    alphabet += ["\u0301", "\u0331", "\u030c", "\u0344", "\u1fef", "\u037e", "\u200d", "\x00", "\x1c", "\x85", "\u00a0", "\u3000", " ", "\n", "\t", "\x0b"]
+    alphabet += ["<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "endoftext", "the", "</w>"]
+    texts = ["".join(r.choices(alphabet, k=r.randint(0, 12))) for _ in range(6000)]
+    texts += ["ABCH\u0331.", "J\u030c!", "E\u0331$$$", "e\u0301,", "<|ENDOFTEXT|>.", "ÉCOLE.", "İ.", "x" * 70 + "."]
+    got = coder.packed(pa.array(["left out", *texts]).slice(1))
+    assert got == [np.array(coder.tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert coder.packed(pa.array(["", None, " "])) == [b"", b"", b""] and coder.packed(pa.array([], pa.string())) == []
+    assert max(map(len, coder.new)) <= 64
+
+
+def test_portions_hold_every_row_once_and_few_bytes(monkeypatch):
+    monkeypatch.setattr("marquee.llm.tokenfiles.PORTION", 10)
+    texts = [None, "", "four", "five!", "x" * 35, "", "seven..", None, "4444", "333", ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["key", "body"])
+    for some in (batch, batch.slice(2), batch.slice(3, 4), batch.slice(1, 1)):
+        parts = [part.column(1).to_pylist() for part in portions(some, 1)]
+        assert sum(parts, []) == some.column(1).to_pylist() and all(parts)
+        assert all(sum(len(t or "") for t in part[1:]) < 10 for part in parts)
+    assert list(portions(batch.slice(0, 0), 1)) == []
