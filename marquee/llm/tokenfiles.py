@@ -47,7 +47,7 @@ SAMPLE_BYTES = 16_384  # only whole documents up to this size are samples: the d
 DICTIONARY_BYTES = 65_536
 LEVEL = 3
 KEPT_WORDS = 300_000
-PORTION = 8_000_000  # bytes of text that are encoded at once: the more, the fewer words are looked up again
+PORTION = 3_000_000  # bytes of text that are encoded at once: the more, the fewer words are looked up again
 
 # The pattern of CLIP's tokenizer, and its normalizers.
 CLIP = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -194,7 +194,7 @@ class WordTokenizer:
             return self._encoded(texts.to_pylist())
         words = pc.ascii_split_whitespace(self._parted(texts))
         different = words.flatten().dictionary_encode()
-        ids = pa.array(self._of_words(different.dictionary.to_pylist()), pa.large_binary()).take(different.indices)
+        ids = pa.array(self._of_words(different.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(different.indices)
         ends = np.frombuffer(ids.buffers()[1], "<i8")[words.offsets.to_numpy()].tolist()
         ids = (ids.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
         return [ids[a:b] for a, b in zip(ends, ends[1:])]
